@@ -1,0 +1 @@
+"""SQL counterparts of the registered queries, for an independent engine (DuckDB)."""

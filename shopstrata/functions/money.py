@@ -11,15 +11,25 @@ from pyspark.sql import functions as F
 
 CENTS = "decimal(18,2)"
 FINE = "decimal(28,8)"
+_NOISE_FREE = "decimal(28,8)"
+
+
+def round_half_up(value: Column, digits: int) -> Column:
+    """Round a DOUBLE half up, as its decimal value reads.
+
+    2.005 computed as 2.00499999999999989 still rounds to 2.01: the detour over
+    a decimal with many digits takes off the binary noise first.
+    """
+    return F.round(value.cast(_NOISE_FREE), digits).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """Rounded quotient; NULL on a zero denominator."""
-    return F.round(F.try_divide(numerator, denominator), digits)
+    return round_half_up(F.try_divide(numerator, denominator), digits)
 
 
 def to_base_currency(amount: Column, rate: Column) -> Column:
-    return F.round(amount / rate, 2)
+    return round_half_up(amount / rate, 2)
 
 
 def exact_sum(amount: Column) -> Column:
@@ -29,4 +39,4 @@ def exact_sum(amount: Column) -> Column:
 
 def share_pct(part: Column, whole: Column, digits: int = 1) -> Column:
     """``part`` in percent of ``whole``; NULL when there is no whole."""
-    return F.round(F.try_divide(part.cast("double") * 100, whole.cast("double")), digits)
+    return round_half_up(F.try_divide(part.cast("double") * 100, whole.cast("double")), digits)

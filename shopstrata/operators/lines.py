@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstrata.functions.money import CENTS
+from shopstrata.functions.money import CENTS, round_half_up
 from shopstrata.schemas import LINE_ITEM
 
 
@@ -27,11 +27,11 @@ def line_items(orders: DataFrame, column: str = "products_json") -> DataFrame:
 
 def line_amounts(unit_price: Column, quantity: Column, discount_pct: Column) -> dict[str, Column]:
     """Price arithmetic of a line: unit after discount, gross and net total."""
-    final_unit = F.round(unit_price * (1 - discount_pct / 100), 2)
+    final_unit = round_half_up(unit_price * (1 - discount_pct / 100), 2)
     return {
         "final_unit_price": final_unit,
-        "line_gross_total": F.round(unit_price * quantity, 2),
-        "line_net_total": F.round(final_unit * quantity, 2),
+        "line_gross_total": round_half_up(unit_price * quantity, 2),
+        "line_net_total": round_half_up(final_unit * quantity, 2),
     }
 
 
@@ -106,7 +106,7 @@ def reconcile(orders: DataFrame, tolerance: float = 0.01) -> DataFrame:
         gap = F.abs(F.col(stated).cast(CENTS) - expected.cast(CENTS))
         return F.coalesce(gap > slack, F.lit(False))
 
-    expected_tax = F.round(F.col("net_total") * F.col("tax_rate"), 2)
+    expected_tax = round_half_up(F.col("net_total") * F.col("tax_rate"), 2)
     discount = F.col("gross_total").cast(CENTS) - F.col("net_total").cast(CENTS)
     total = (
         F.col("net_total").cast(CENTS)

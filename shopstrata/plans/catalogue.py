@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopstrata import fixed_values as fixed
 from shopstrata.functions.bands import band, blank_to_null
+from shopstrata.functions.money import CENTS, round_half_up
 from shopstrata.functions.people import (
     email_parts,
     name_parts,
@@ -347,7 +348,7 @@ def json_items_roundtrip(t: SampleTables) -> DataFrame:
             F.struct(
                 F.col("l_partkey").alias("product_id"),
                 F.col("l_suppkey").alias("seller_id"),
-                F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"),
+                round_half_up(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"),
                 F.col("l_quantity").cast("int").alias("quantity"),
                 (F.col("l_discount") * 100).cast("decimal(5,1)").alias("discount_pct"),
             )
@@ -363,8 +364,8 @@ def json_items_roundtrip(t: SampleTables) -> DataFrame:
     return priced.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.sum("quantity").alias("quantity"),
-        F.sum(F.col("line_gross_total").cast("decimal(18,2)")).cast("double").alias("gross_total"),
-        F.sum(F.col("line_net_total").cast("decimal(18,2)")).cast("double").alias("net_total"),
+        F.sum(F.col("line_gross_total").cast(CENTS)).cast("double").alias("gross_total"),
+        F.sum(F.col("line_net_total").cast(CENTS)).cast("double").alias("net_total"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopstrata import fixed_values as fixed
 from shopstrata.functions.bands import band
-from shopstrata.functions.money import FINE, exact_sum, share_pct, to_base_currency
+from shopstrata.functions.money import FINE, exact_sum, ratio, share_pct, to_base_currency
 from shopstrata.functions.times import business_date, calendar_parts, round_to_millis
 from shopstrata.operators import quality
 from shopstrata.operators.dedup import first_per_group, latest_per_key
@@ -257,10 +257,10 @@ def daily_sales(fact: DataFrame) -> DataFrame:
         F.countDistinct("top_seller_sk").alias("unique_sellers"),
         F.sum("item_count").alias("total_items"),
         F.sum("total_quantity").alias("total_units"),
-        F.round(total, 2).alias("revenue_usd"),
-        F.round(exact_sum(F.col("net_total_usd")), 2).alias("net_revenue_usd"),
-        F.round(F.try_divide(total, priced), 2).alias("avg_order_value_usd"),
-        F.round(F.max("order_total_usd"), 2).alias("max_order_value_usd"),
+        total.alias("revenue_usd"),
+        exact_sum(F.col("net_total_usd")).alias("net_revenue_usd"),
+        ratio(total, priced, 2).alias("avg_order_value_usd"),
+        F.max("order_total_usd").alias("max_order_value_usd"),
         F.round(F.sum(F.col("commission_usd").cast(FINE)), 2).cast("double").alias("total_commission_usd"),
         share_pct(F.count_if("has_discount"), orders).alias("discount_rate_pct"),
         *[F.count_if(test).alias(name) for name, test in counted.items()],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopstrata.functions.money import exact_sum, share_pct
+from shopstrata.functions.money import exact_sum, ratio, share_pct
 
 
 def _revenue_by(daily: DataFrame, *keys: str) -> DataFrame:
@@ -53,7 +53,7 @@ def tier_commission(sellers: DataFrame) -> DataFrame:
     rate = F.sum(F.col("commission_rate").cast("decimal(18,6)")).cast("double")
     return sellers.groupBy("seller_tier").agg(
         F.count(F.lit(1)).alias("sellers"),
-        F.round(F.try_divide(rate, F.count("commission_rate").cast("double")), 6).alias("avg_commission_rate"),
+        ratio(rate, F.count("commission_rate").cast("double"), 6).alias("avg_commission_rate"),
     )
 
 

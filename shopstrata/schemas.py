@@ -6,7 +6,35 @@ derived ones, so it is declared that way. Timestamps are zone-free UTC.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+_TYPES: dict[str, DataType] = {
+    "INT": IntegerType(),
+    "BIGINT": LongType(),
+    "DOUBLE": DoubleType(),
+    "STRING": StringType(),
+    "BOOLEAN": BooleanType(),
+    "DATE": DateType(),
+    "TIMESTAMP_NTZ": TimestampNTZType(),
+}
+
+
+def columns(text: str) -> StructType:
+    """``"a INT, b STRING"`` as a schema; unlike ``fromDDL`` it needs no session."""
+    pairs = (column.split() for column in text.split(","))
+    return StructType([StructField(name, _TYPES[type_name]) for name, type_name in pairs])
+
 
 FEED_LINEAGE = (
     "dataset STRING, source STRING, run_id STRING, ingested_at TIMESTAMP_NTZ, ingestion_date DATE"
@@ -89,7 +117,7 @@ _CLEAN_CHANGES = {
     "silver_weather": ([], "", True),
 }
 
-LINE_ITEM = StructType.fromDDL(
+LINE_ITEM = columns(
     "product_id INT, seller_id INT, category STRING, subcategory STRING, unit_price DOUBLE,"
     " quantity INT, discount_pct DOUBLE, final_unit_price DOUBLE, line_gross_total DOUBLE,"
     " line_net_total DOUBLE"
@@ -98,19 +126,18 @@ LINE_ITEM = StructType.fromDDL(
 
 def _build_feeds() -> dict[str, StructType]:
     return {
-        name: StructType.fromDDL(f"{columns}, {FEED_LINEAGE}")
-        for name, columns in _FEED_COLUMNS.items()
+        name: columns(f"{own}, {FEED_LINEAGE}") for name, own in _FEED_COLUMNS.items()
     }
 
 
 def _build_clean() -> dict[str, StructType]:
     tables = {}
     for name, (dropped, derived, _) in _CLEAN_CHANGES.items():
-        feed = StructType.fromDDL(_FEED_COLUMNS[name.replace("silver_", "bronze_")])
+        feed = columns(_FEED_COLUMNS[name.replace("silver_", "bronze_")])
         fields: list[StructField] = [f for f in feed.fields if f.name not in dropped]
         if derived:
-            fields += StructType.fromDDL(derived).fields
-        fields += StructType.fromDDL(CLEAN_LINEAGE).fields
+            fields += columns(derived).fields
+        fields += columns(CLEAN_LINEAGE).fields
         tables[name] = StructType(fields)
     return tables
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata import fixed_values as fixed
-from shopstrata.functions.money import CENTS
+from shopstrata.functions.money import CENTS, round_half_up
 from shopstrata.operators.lines import order_rollup
 from shopstrata.sources.payloads import cities
 
@@ -133,8 +133,8 @@ def orders(tables: SampleTables) -> DataFrame:
         net.alias("net_total"),
         ((k % 1000) / F.lit(100.0)).alias("shipping_cost"),
         rate.alias("tax_rate"),
-        F.round(net * rate, 2).alias("tax_amount"),
-        F.round((F.col("o_totalprice") / 100), 2).alias("order_total"),
+        round_half_up(net * rate, 2).alias("tax_amount"),
+        round_half_up(F.col("o_totalprice") / 100, 2).alias("order_total"),
         F.coalesce("item_count", F.lit(0)).alias("item_count"),
         F.coalesce("total_quantity", F.lit(0)).alias("total_quantity"),
         "top_category",
@@ -234,7 +234,7 @@ def products(tables: SampleTables) -> DataFrame:
     """bronze_products: four quarter-hour snapshots of the part list."""
     k, s = F.col("p_partkey"), F.col("snapshot")
     base = (k * 37 % 60000) / F.lit(100.0)
-    current = F.round(base * (90 + (k + s) % 21) / 100, 2)
+    current = round_half_up(base * (90 + (k + s) % 21) / 100, 2)
     pct = F.when(k % 5 == 0, (5 + k % 36).cast("double")).otherwise(F.lit(0.0))
     return _snapshots(tables.read("part"), 4).select(
         k.cast("int").alias("product_id"),
@@ -250,7 +250,7 @@ def products(tables: SampleTables) -> DataFrame:
         current.alias("current_price"),
         (k % 5 == 0).alias("discount_active"),
         pct.alias("discount_pct"),
-        F.round(current * (1 - pct / 100), 2).alias("final_price"),
+        round_half_up(current * (1 - pct / 100), 2).alias("final_price"),
         F.col("p_size").cast("int").alias("stock_quantity"),
         (F.col("p_size") < 5).alias("is_low_stock"),
         ((25 + k % 26) / F.lit(10.0)).alias("rating"),

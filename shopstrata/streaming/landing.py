@@ -16,9 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
 
 from shopstrata.functions.times import utc_from_text
-from shopstrata.schemas import BRONZE, LANDING_BATCH
+from shopstrata.schemas import BRONZE, LANDING_BATCH, columns
 
-REJECTS_SCHEMA = StructType.fromDDL(
+REJECTS_SCHEMA = columns(
     f"value STRING, dataset STRING, reason STRING, {LANDING_BATCH} STRING"
 )
 _BROKEN = "_broken"
@@ -47,7 +47,7 @@ def _as_read(schema: StructType) -> StructType:
 
 def _typed(schema: StructType) -> tuple[list[Column], Column]:
     """Typed columns, and whether a time was given but could not be read."""
-    columns, unreadable = [], F.lit(False)
+    typed, unreadable = [], F.lit(False)
     for field in schema.fields:
         value = F.col(f"_record.{field.name}")
         if isinstance(field.dataType, TimestampNTZType):
@@ -55,20 +55,20 @@ def _typed(schema: StructType) -> tuple[list[Column], Column]:
         elif isinstance(field.dataType, DateType):
             converted = value.try_cast("date")
         else:
-            columns.append(value.alias(field.name))
+            typed.append(value.alias(field.name))
             continue
         unreadable = unreadable | (value.isNotNull() & converted.isNull())
-        columns.append(converted.alias(field.name))
-    return columns, unreadable
+        typed.append(converted.alias(field.name))
+    return typed, unreadable
 
 
 def decode(routed: DataFrame, schema: StructType) -> DataFrame:
     """Typed columns of one dataset's lines, next to ``value`` and a ``malformed`` flag."""
     record = F.from_json("value", _as_read(schema), {"columnNameOfCorruptRecord": _BROKEN})
-    columns, unreadable = _typed(schema)
+    typed, unreadable = _typed(schema)
     return (
         routed.select("value", record.alias("_record"))
-        .select("value", *columns, (F.col(f"_record.{_BROKEN}").isNotNull() | unreadable).alias("malformed"))
+        .select("value", *typed, (F.col(f"_record.{_BROKEN}").isNotNull() | unreadable).alias("malformed"))
     )
 
 
@@ -138,9 +138,9 @@ def _replace_partitions(rows: DataFrame, table: str) -> None:
 
 
 def create_rejects_table(spark: SparkSession, table: str) -> None:
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in REJECTS_SCHEMA.fields)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in REJECTS_SCHEMA.fields)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY ({LANDING_BATCH})"
+        f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet PARTITIONED BY ({LANDING_BATCH})"
     )
 
 
