@@ -106,7 +106,7 @@ VIEWS = {
         FROM lines GROUP BY order_id""",
     "order_texts": """
         SELECT order_id, '[' || string_agg('{"category":"' || category || '","quantity":' || quantity
-               || ',"line_gross_total":' || gross || ',"line_net_total":' || net || '}', ',' ORDER BY category)
+               || ',"line_gross_total":' || CAST(gross AS DOUBLE) || ',"line_net_total":' || CAST(net AS DOUBLE) || '}', ',' ORDER BY category)
                || ']' AS products_json
         FROM line_categories GROUP BY order_id""",
     "rollup_of_lines": """

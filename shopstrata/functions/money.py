@@ -1,7 +1,9 @@
 """Money arithmetic.
 
-Tables hold money as DOUBLE. Sums run over decimals instead, because adding
-doubles gives other last digits whenever partitions arrive in another order.
+Tables hold money as DOUBLE. Sums run over whole cents (BIGINT) instead, because
+adding doubles gives other last digits whenever partitions arrive in another
+order. Cents stay in generated code, which wide decimals do not; an overflow
+raises an error under ANSI mode.
 """
 
 from __future__ import annotations
@@ -9,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CENTS = "decimal(18,2)"
 FINE = "decimal(28,8)"
 _NOISE_FREE = "decimal(28,8)"
 
@@ -32,9 +33,18 @@ def to_base_currency(amount: Column, rate: Column) -> Column:
     return round_half_up(amount / rate, 2)
 
 
+def cents(amount: Column) -> Column:
+    """Whole cents of an amount with at most two decimals."""
+    return F.rint(amount * 100).cast("bigint")
+
+
+def from_cents(amount: Column) -> Column:
+    return amount / F.lit(100.0)
+
+
 def exact_sum(amount: Column) -> Column:
     """Order-independent sum of amounts with at most two decimals."""
-    return F.sum(amount.cast(CENTS)).cast("double")
+    return from_cents(F.sum(cents(amount)))
 
 
 def share_pct(part: Column, whole: Column, digits: int = 1) -> Column:

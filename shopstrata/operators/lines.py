@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstrata.functions.money import CENTS, round_half_up
+from shopstrata.functions.money import cents, from_cents, round_half_up
 from shopstrata.schemas import LINE_ITEM
 
 
@@ -38,18 +38,18 @@ def line_amounts(unit_price: Column, quantity: Column, discount_pct: Column) ->
 def category_totals(lines: DataFrame, carry: dict[str, Column] | None = None) -> DataFrame:
     """Totals of each (order, category), with its best-selling line.
 
-    Lines need order_id, category, seller_id, quantity, gross and net. ``carry``
-    adds aggregates of the caller's own.
+    Lines need order_id, category, seller_id, quantity, gross_cents and net_cents.
+    ``carry`` adds aggregates of the caller's own.
     """
-    carry = carry or {}
+    # Highest net first, smallest seller on a tie.
+    best = F.struct(F.col("net_cents").alias("net"), (-F.col("seller_id")).alias("low"))
     return lines.groupBy("order_id", "category").agg(
         F.count(F.lit(1)).alias("items"),
         F.sum("quantity").alias("quantity"),
-        F.sum(F.col("gross").cast(CENTS)).alias("gross"),
-        F.sum(F.col("net").cast(CENTS)).alias("net"),
-        # Highest net first, smallest seller on a tie.
-        F.max(F.struct(F.col("net").cast(CENTS).alias("net"), (-F.col("seller_id")).alias("low"))).alias("top"),
-        *[c.alias(n) for n, c in carry.items()],
+        F.sum("gross_cents").alias("gross_cents"),
+        F.sum("net_cents").alias("net_cents"),
+        F.max(best).alias("top"),
+        *[c.alias(n) for n, c in (carry or {}).items()],
     )
 
 
@@ -69,8 +69,8 @@ def order_rollup(
     totals = per_category.groupBy("order_id").agg(
         F.sum("items").cast("int").alias("item_count"),
         F.sum("quantity").cast("int").alias("total_quantity"),
-        F.sum("gross").alias("_gross"),
-        F.sum("net").alias("_net"),
+        F.sum("gross_cents").alias("_gross"),
+        F.sum("net_cents").alias("_net"),
         F.max("top").alias("_top"),
         F.min(ranked).alias("_best"),
         *[second.alias(n) for n, (_, second) in carry.items()],
@@ -79,9 +79,9 @@ def order_rollup(
         "order_id",
         "item_count",
         "total_quantity",
-        F.col("_gross").cast("double").alias("gross_total"),
-        (F.col("_gross") - F.col("_net")).cast("double").alias("discount_total"),
-        F.col("_net").cast("double").alias("net_total"),
+        from_cents(F.col("_gross")).alias("gross_total"),
+        from_cents(F.col("_gross") - F.col("_net")).alias("discount_total"),
+        from_cents(F.col("_net")).alias("net_total"),
         (-F.col("_top.low")).cast("int").alias("top_seller_id"),
         F.col("_best.category").alias("top_category"),
         *carry,
@@ -100,23 +100,19 @@ def top_by(
 
 def reconcile(orders: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Recompute discount, tax and total of each order; flag the ones that are off."""
-    slack = F.lit(tolerance).cast(CENTS)
+    slack = round(tolerance * 100)
 
-    def off(stated: str, expected: Column) -> Column:
-        gap = F.abs(F.col(stated).cast(CENTS) - expected.cast(CENTS))
+    def off(stated: str, expected_cents: Column) -> Column:
+        gap = F.abs(cents(F.col(stated)) - expected_cents)
         return F.coalesce(gap > slack, F.lit(False))
 
-    expected_tax = round_half_up(F.col("net_total") * F.col("tax_rate"), 2)
-    discount = F.col("gross_total").cast(CENTS) - F.col("net_total").cast(CENTS)
-    total = (
-        F.col("net_total").cast(CENTS)
-        + F.col("shipping_cost").cast(CENTS)
-        + F.col("tax_amount").cast(CENTS)
-    )
+    tax = cents(round_half_up(F.col("net_total") * F.col("tax_rate"), 2))
+    discount = cents(F.col("gross_total")) - cents(F.col("net_total"))
+    total = cents(F.col("net_total")) + cents(F.col("shipping_cost")) + cents(F.col("tax_amount"))
     return orders.select(
         "order_id",
         off("discount_total", discount).alias("discount_off"),
-        off("tax_amount", expected_tax).alias("tax_off"),
+        off("tax_amount", tax).alias("tax_off"),
         off("order_total", total).alias("total_off"),
     )
 

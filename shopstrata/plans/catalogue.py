@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shopstrata import fixed_values as fixed
 from shopstrata.functions.bands import band, blank_to_null
-from shopstrata.functions.money import CENTS, round_half_up
+from shopstrata.functions.money import exact_sum, round_half_up
 from shopstrata.functions.people import (
     email_parts,
     name_parts,
@@ -330,7 +330,7 @@ def order_rollup(t: SampleTables) -> DataFrame:
 @_register
 def top_seller_per_order(t: SampleTables) -> DataFrame:
     lines = sample_tables.lines(t)
-    return line_ops.top_by(lines, ["order_id"], "net", "seller_id", "top_seller_id")
+    return line_ops.top_by(lines, ["order_id"], "net_cents", "seller_id", "top_seller_id")
 
 
 @_register
@@ -364,8 +364,8 @@ def json_items_roundtrip(t: SampleTables) -> DataFrame:
     return priced.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.sum("quantity").alias("quantity"),
-        F.sum(F.col("line_gross_total").cast(CENTS)).cast("double").alias("gross_total"),
-        F.sum(F.col("line_net_total").cast(CENTS)).cast("double").alias("net_total"),
+        exact_sum(F.col("line_gross_total")).alias("gross_total"),
+        exact_sum(F.col("line_net_total")).alias("net_total"),
     )
 
 
@@ -437,7 +437,7 @@ def dim_currency(t: SampleTables) -> DataFrame:
 def dim_date(t: SampleTables) -> DataFrame:
     # The spine needs only the first order time. The feed has it too: its gate
     # refuses repeated order ids, so cleaning takes no row away.
-    return gold.date_dim(sample_tables.orders(t).select("ordered_at"), RUN.as_of)
+    return gold.date_dim(sample_tables.order_times(t), RUN.as_of)
 
 
 @_register

@@ -71,9 +71,16 @@ def flatten_rates(
     )
 
 
-def _absent(document: Column, path: str) -> Column:
-    """TRUE if the field is not there at all; a JSON null is there."""
-    return F.try_variant_get(document, path, "variant").isNull()
+_WEATHER = (
+    "ARRAY<STRUCT<current: STRUCT<time: STRING, "
+    + ", ".join(f"{field}: DOUBLE" for field in _CURRENT_DOUBLES.values())
+    # Read as VARIANT, an absent field is NULL while a JSON null is a value.
+    + ", weather_code: VARIANT, is_day: VARIANT>, timezone: VARIANT>>"
+)
+
+
+def _unless_absent(field: Column, default: object, given: Column) -> Column:
+    return F.when(field.isNull(), F.lit(default)).otherwise(given)
 
 
 def flatten_weather(
@@ -88,32 +95,21 @@ def flatten_weather(
     a field that is there but null stays null (``is_day`` then means night).
     """
     carried = [c for c in documents.columns if c != payload]
-    document = F.try_parse_json(F.col(payload))
-    objects = F.coalesce(
-        F.try_variant_get(document, "$", "array<variant>"), F.array(document)
-    )
-    each = documents.select(*carried, F.posexplode(objects).alias("position", "_answer"))
-    answer = F.col("_answer")
-    code = F.when(
-        _absent(answer, "$.current.weather_code"), F.lit(fixed.MISSING_WEATHER_CODE)
-    ).otherwise(F.try_variant_get(answer, "$.current.weather_code", "int"))
-    day = F.when(_absent(answer, "$.current.is_day"), F.lit(True)).otherwise(
-        F.coalesce(F.try_variant_get(answer, "$.current.is_day", "int") != 0, F.lit(False))
-    )
-    zone = F.when(_absent(answer, "$.timezone"), F.lit("UTC")).otherwise(
-        F.try_variant_get(answer, "$.timezone", "string")
-    )
-    rows = each.where(F.col("_answer").isNotNull()).select(
+    parsed = documents.select(*carried, F.from_json(payload, _WEATHER).alias("_answers"))
+    each = parsed.select(*carried, F.posexplode("_answers").alias("position", "_answer"))
+    current, zone = F.col("_answer.current"), F.col("_answer.timezone")
+    code, day = current["weather_code"], current["is_day"]
+    lit_day = F.coalesce(F.try_variant_get(day, "$", "int") != 0, F.lit(False))
+    rows = each.select(
         *carried,
         "position",
-        F.try_variant_get(answer, "$.current.time", "string").alias("observation_time"),
-        *[
-            F.try_variant_get(answer, f"$.current.{field}", "double").alias(name)
-            for name, field in _CURRENT_DOUBLES.items()
-        ],
-        code.alias("weather_code"),
-        day.alias("is_day"),
-        zone.alias("timezone"),
+        current["time"].alias("observation_time"),
+        *[current[field].alias(name) for name, field in _CURRENT_DOUBLES.items()],
+        _unless_absent(
+            code, fixed.MISSING_WEATHER_CODE, F.try_variant_get(code, "$", "int")
+        ).alias("weather_code"),
+        _unless_absent(day, True, lit_day).alias("is_day"),
+        _unless_absent(zone, "UTC", F.try_variant_get(zone, "$", "string")).alias("timezone"),
     )
     placed = rows.join(F.broadcast(city_list), "position", "inner").drop("position")
     return decode(placed, codes, "weather_code", "weather_description", fixed.UNKNOWN_WEATHER)

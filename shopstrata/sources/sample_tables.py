@@ -12,9 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopstrata import fixed_values as fixed
-from shopstrata.functions.money import CENTS, round_half_up
+from shopstrata.functions.money import cents, from_cents, round_half_up
 from shopstrata.operators.lines import order_rollup
 from shopstrata.sources.payloads import cities
 
@@ -27,12 +28,18 @@ QUOTED_CODES = fixed.TARGET_CURRENCIES + ["XAU", "TRY", "SEK"]  # the last three
 class SampleTables:
     """Readers for one folder of tables."""
 
+    _schemas: dict[str, StructType] = {}
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The whole table. Its file footer is looked at once per process."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
 
 def _pick(key: Column, values: Sequence[str], every: int = 1) -> Column:
@@ -74,15 +81,16 @@ def _snapshot_time(minutes: int) -> Column:
 
 def lines(tables: SampleTables) -> DataFrame:
     """Order lines with the category of their part and amounts in cents."""
+    gross = cents(F.col("l_extendedprice"))
+    kept_pct = 100 - cents(F.col("l_discount"))
     item = tables.read("lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey"),
         F.col("l_suppkey").alias("seller_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_extendedprice").cast(CENTS).alias("gross"),
-        F.round(
-            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,6)"), 2
-        ).cast(CENTS).alias("net"),
+        gross.alias("gross_cents"),
+        # Half up, in integers.
+        F.floor((gross * kept_pct + 50) / 100).alias("net_cents"),
         F.col("l_shipdate").alias("shipped_at"),
     )
     part = tables.read("part").select("p_partkey", F.col("p_type").alias("category"))
@@ -97,12 +105,23 @@ def _category_item() -> Column:
         F.struct(
             "category",
             "quantity",
-            F.col("gross").alias("line_gross_total"),
-            F.col("net").alias("line_net_total"),
+            from_cents(F.col("gross_cents")).alias("line_gross_total"),
+            from_cents(F.col("net_cents")).alias("line_net_total"),
         )
     )
 
 
+def _ordered_at() -> Column:
+    k = F.col("o_orderkey")
+    seconds = (k * 7919 % 86400) + (k % 10000).cast("decimal(18,6)") / 10000
+    return F.col("o_orderdate") + F.make_dt_interval(secs=seconds)
+
+
+def order_times(tables: SampleTables) -> DataFrame:
+    """Only the order times of bronze_orders, without touching the lines."""
+    return tables.read("orders").select(_ordered_at().alias("ordered_at"))
+
+
 def orders(tables: SampleTables) -> DataFrame:
     """bronze_orders: order headers with the roll-up of their lines."""
     rollup = order_rollup(
@@ -113,9 +132,6 @@ def orders(tables: SampleTables) -> DataFrame:
         },
     ).withColumnRenamed("order_id", "o_orderkey")
     k = F.col("o_orderkey")
-    at = F.col("o_orderdate") + F.make_dt_interval(
-        secs=(k * 7919 % 86400) + (k % 10000).cast("decimal(18,6)") / 10000
-    )
     net = F.coalesce("net_total", F.lit(0.0))
     rate = (50 + k % 131) / F.lit(1000.0)
     joined = tables.read("orders").join(rollup, "o_orderkey", "left")
@@ -126,7 +142,7 @@ def orders(tables: SampleTables) -> DataFrame:
         _pick(k, fixed.ORDER_CHANNELS, 8).alias("channel"),
         _pick(k, fixed.PAYMENT_METHODS).alias("payment_method"),
         _pick(k, fixed.ORDER_CURRENCIES, 32).alias("currency"),
-        at.alias("ordered_at"),
+        _ordered_at().alias("ordered_at"),
         F.when(F.col("o_orderstatus") != "P", F.col("last_shipped_at")).alias("estimated_delivery_at"),
         F.coalesce("gross_total", F.lit(0.0)).alias("gross_total"),
         F.coalesce("discount_total", F.lit(0.0)).alias("discount_total"),
