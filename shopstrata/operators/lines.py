@@ -19,8 +19,8 @@ from shopstrata.schemas import LINE_ITEM
 def line_items(orders: DataFrame, column: str = "products_json") -> DataFrame:
     """One row per line item of the JSON text; unreadable text gives no lines."""
     schema = f"array<{LINE_ITEM.simpleString()}>"
-    items = orders.select("order_id", F.from_json(column, schema).alias("_items"))
-    return items.select("order_id", F.posexplode("_items").alias("position", "_item")).select(
+    items = F.posexplode(F.from_json(column, schema))
+    return orders.select("order_id", items.alias("position", "_item")).select(
         "order_id", "position", "_item.*"
     )
 

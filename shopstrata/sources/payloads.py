@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata import fixed_values as fixed
+from shopstrata.functions.json_text import with_parsed
 from shopstrata.operators.joins import allowed_only, decode
 from shopstrata.sources.literals import literal_table
 
@@ -50,7 +51,7 @@ def flatten_rates(
     Other columns of ``documents`` are kept.
     """
     carried = [c for c in documents.columns if c != payload]
-    parsed = documents.withColumn("_doc", F.from_json(payload, _RATES)).where(
+    parsed = with_parsed(documents, "_doc", F.from_json(payload, _RATES)).where(
         F.col("_doc.result") == "success"
     )
     rates = parsed.select(
@@ -95,8 +96,8 @@ def flatten_weather(
     a field that is there but null stays null (``is_day`` then means night).
     """
     carried = [c for c in documents.columns if c != payload]
-    parsed = documents.select(*carried, F.from_json(payload, _WEATHER).alias("_answers"))
-    each = parsed.select(*carried, F.posexplode("_answers").alias("position", "_answer"))
+    answers = F.posexplode(F.from_json(payload, _WEATHER))
+    each = documents.select(*carried, answers.alias("position", "_answer"))
     current, zone = F.col("_answer.current"), F.col("_answer.timezone")
     code, day = current["weather_code"], current["is_day"]
     lit_day = F.coalesce(F.try_variant_get(day, "$", "int") != 0, F.lit(False))

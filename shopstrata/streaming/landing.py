@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
 
+from shopstrata.functions.json_text import with_parsed
 from shopstrata.functions.times import utc_from_text
 from shopstrata.schemas import BRONZE, LANDING_BATCH, columns
 
@@ -67,7 +68,7 @@ def decode(routed: DataFrame, schema: StructType) -> DataFrame:
     record = F.from_json("value", _as_read(schema), {"columnNameOfCorruptRecord": _BROKEN})
     typed, unreadable = _typed(schema)
     return (
-        routed.select("value", record.alias("_record"))
+        with_parsed(routed.select("value"), "_record", record)
         .select("value", *typed, (F.col(f"_record.{_BROKEN}").isNotNull() | unreadable).alias("malformed"))
     )
 
