@@ -145,7 +145,8 @@ def _build_clean() -> dict[str, StructType]:
 BRONZE: dict[str, StructType] = _build_feeds()
 SILVER: dict[str, StructType] = _build_clean()
 PARTITION_COLUMNS: dict[str, list[str]] = {
-    **{name: ["ingestion_date", LANDING_BATCH] for name in BRONZE},
+    # The batch comes first, so one batch can be replaced as a whole.
+    **{name: [LANDING_BATCH, "ingestion_date"] for name in BRONZE},
     **{
         name: ["silver_processed_date"] if by_day else []
         for name, (_, _, by_day) in _CLEAN_CHANGES.items()

@@ -55,7 +55,7 @@ def create_tables(
         for name, schema in tables.items():
             partitions = PARTITION_COLUMNS[name]
             if LANDING_BATCH in partitions:
-                schema = StructType(schema.fields).add(LANDING_BATCH, "string")
+                schema = StructType(list(schema.fields)).add(LANDING_BATCH, "string")
             table = f"{database}.{name}"
             location = f"{root.rstrip('/')}/{database}/{name}/base" if root else None
             create_table(spark, table, schema, partitions, provider, location)

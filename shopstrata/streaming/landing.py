@@ -1,8 +1,8 @@
 """Routed landing of JSON feeds: one stream of mixed records -> one table per dataset.
 
-Tables are append-only and never collapse rows by key. Each micro-batch writes
-its own (day, batch) partitions and replaces exactly those when it is replayed,
-so a restart after a lost driver or executor neither loses nor repeats rows.
+Tables are append-only and never collapse rows by key. Each micro-batch owns the
+partitions that carry its name and replaces exactly those when it is replayed, so
+a restart after a lost driver or executor neither loses nor repeats rows.
 """
 
 from __future__ import annotations
@@ -119,22 +119,22 @@ def land_batch(
     routed = with_dataset(batch).persist()
     try:
         for dataset, table in tables.items():
-            rows = accepted(routed, dataset, registry[dataset])
-            _replace_partitions(rows.withColumn(LANDING_BATCH, F.lit(batch_name)), table)
+            _replace_batch(accepted(routed, dataset, registry[dataset]), batch_name, table)
         refused = rejected(routed, {d: registry[d] for d in tables})
-        _replace_partitions(refused.withColumn(LANDING_BATCH, F.lit(batch_name)), rejects_table)
+        _replace_batch(refused, batch_name, rejects_table)
     finally:
         routed.unpersist()
 
 
-def _replace_partitions(rows: DataFrame, table: str) -> None:
-    order = rows.sparkSession.read.table(table).columns
-    (
-        rows.select(*order)
-        .hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
+def _replace_batch(rows: DataFrame, batch_name: str, table: str) -> None:
+    """Write the rows as the only content of this batch's partitions."""
+    spark = rows.sparkSession
+    columns = [c for c in spark.read.table(table).columns if c != LANDING_BATCH]
+    within = ", ingestion_date" if "ingestion_date" in columns else ""
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({LANDING_BATCH} = '{batch_name}'{within})"
+        " SELECT * FROM {rows}",
+        rows=rows.select(*columns).hint("rebalance"),
     )
 
 

@@ -166,7 +166,7 @@ def test_utc_from_text_in_any_session_zone(spark, zone):
             (None,),
         ]
     finally:
-        spark.conf.set("spark.sql.session.timeZone", zone if before is None else before)
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_days_between(spark):
