@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FINE = "decimal(28,8)"
 _NOISE_FREE = "decimal(28,8)"
 
 
@@ -47,6 +46,11 @@ def exact_sum(amount: Column) -> Column:
     return from_cents(F.sum(cents(amount)))
 
 
+def fine_sum(amount: Column) -> Column:
+    """Order-independent sum of products of amounts and rates, kept to six decimals."""
+    return F.sum(F.rint(amount * 1_000_000).cast("bigint")) / F.lit(1_000_000.0)
+
+
 def share_pct(part: Column, whole: Column, digits: int = 1) -> Column:
     """``part`` in percent of ``whole``; NULL when there is no whole."""
     return round_half_up(F.try_divide(part.cast("double") * 100, whole.cast("double")), digits)

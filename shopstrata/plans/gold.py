@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from shopstrata import fixed_values as fixed
 from shopstrata.functions.bands import band
-from shopstrata.functions.money import FINE, exact_sum, ratio, share_pct, to_base_currency
+from shopstrata.functions.money import (
+    exact_sum,
+    fine_sum,
+    ratio,
+    round_half_up,
+    share_pct,
+    to_base_currency,
+)
 from shopstrata.functions.times import business_date, calendar_parts, round_to_millis
 from shopstrata.operators import quality
 from shopstrata.operators.dedup import first_per_group, latest_per_key
@@ -217,9 +224,11 @@ def fact_orders(orders: DataFrame, dims: Dimensions) -> DataFrame:
     )
 
 
-DAILY_KEYS = [
-    "date_sk", "order_date", "order_year", "order_month", "order_quarter", "category",
-    "channel", "customer_tier", "user_country", "seller_tier", "seller_category", "is_weekend",
+# The twelve grouping columns of the daily fact. They travel as two structs: the
+# code generated for twelve separate nullable keys gets too big to be compiled.
+_DAY_KEYS = ["date_sk", "order_date", "order_year", "order_month", "order_quarter", "is_weekend"]
+_GROUP_KEYS = [
+    "category", "channel", "customer_tier", "user_country", "seller_tier", "seller_category",
 ]
 
 
@@ -251,7 +260,8 @@ def daily_sales(fact: DataFrame) -> DataFrame:
     }
     orders, total = F.count("order_id"), exact_sum(F.col("order_total_usd"))
     priced = F.count("order_total_usd").cast("double")
-    return sold.groupBy(*DAILY_KEYS).agg(
+    keyed = sold.withColumns({"_day": F.struct(*_DAY_KEYS), "_group": F.struct(*_GROUP_KEYS)})
+    totals = keyed.groupBy("_day", "_group").agg(
         orders.alias("total_orders"),
         F.countDistinct("user_sk").alias("unique_customers"),
         F.countDistinct("top_seller_sk").alias("unique_sellers"),
@@ -261,10 +271,12 @@ def daily_sales(fact: DataFrame) -> DataFrame:
         exact_sum(F.col("net_total_usd")).alias("net_revenue_usd"),
         ratio(total, priced, 2).alias("avg_order_value_usd"),
         F.max("order_total_usd").alias("max_order_value_usd"),
-        F.round(F.sum(F.col("commission_usd").cast(FINE)), 2).cast("double").alias("total_commission_usd"),
+        round_half_up(fine_sum(F.col("commission_usd")), 2).alias("total_commission_usd"),
         share_pct(F.count_if("has_discount"), orders).alias("discount_rate_pct"),
         *[F.count_if(test).alias(name) for name, test in counted.items()],
     )
+    measures = [c for c in totals.columns if not c.startswith("_")]
+    return totals.select("_day.*", "_group.*", *measures)
 
 
 # --- table tests ---------------------------------------------------------------

@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # One star-schema plan generates well over the default hundred classes; when
+    # they push each other out of the cache every run compiles all of them again.
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
