@@ -8,7 +8,7 @@ a restart after a lost driver or executor neither loses nor repeats rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,11 +46,11 @@ def _as_read(schema: StructType) -> StructType:
     return StructType(fields).add(_BROKEN, "string")
 
 
-def _typed(schema: StructType) -> tuple[list[Column], Column]:
-    """Typed columns, and whether a time was given but could not be read."""
-    typed, unreadable = [], F.lit(False)
+def _typed(schema: StructType, record: Column) -> tuple[list[Column], Column]:
+    """Typed columns of a parsed record, and whether it could not be read in full."""
+    typed, unreadable = [], record[_BROKEN].isNotNull()
     for field in schema.fields:
-        value = F.col(f"_record.{field.name}")
+        value = record[field.name]
         if isinstance(field.dataType, TimestampNTZType):
             converted = utc_from_text(value)
         elif isinstance(field.dataType, DateType):
@@ -63,14 +63,19 @@ def _typed(schema: StructType) -> tuple[list[Column], Column]:
     return typed, unreadable
 
 
+def _unreadable(schema: StructType) -> Callable[[Column], Column]:
+    return lambda record: _typed(schema, record)[1]
+
+
+def _parse(schema: StructType) -> Column:
+    return F.from_json("value", _as_read(schema), {"columnNameOfCorruptRecord": _BROKEN})
+
+
 def decode(routed: DataFrame, schema: StructType) -> DataFrame:
     """Typed columns of one dataset's lines, next to ``value`` and a ``malformed`` flag."""
-    record = F.from_json("value", _as_read(schema), {"columnNameOfCorruptRecord": _BROKEN})
-    typed, unreadable = _typed(schema)
-    return (
-        with_parsed(routed.select("value"), "_record", record)
-        .select("value", *typed, (F.col(f"_record.{_BROKEN}").isNotNull() | unreadable).alias("malformed"))
-    )
+    typed, unreadable = _typed(schema, F.col("_record"))
+    parsed = with_parsed(routed.select("value"), "_record", _parse(schema))
+    return parsed.select("value", *typed, unreadable.alias("malformed"))
 
 
 def accepted(routed: DataFrame, dataset: str, schema: StructType) -> DataFrame:
@@ -98,8 +103,8 @@ def route_outcomes(routed: DataFrame, registry: Mapping[str, StructType]) -> Dat
     """(dataset, outcome, rows): what would be landed and what refused. One scan."""
     outcome = F.when(F.col("dataset").isNull(), F.lit(MALFORMED))
     for dataset, schema in registry.items():
-        record = F.from_json("value", _as_read(schema), {"columnNameOfCorruptRecord": _BROKEN})
-        broken = record[_BROKEN].isNotNull()
+        # Bound to a lambda, the parsed record is made once and looked at often.
+        broken = F.exists(F.array(_parse(schema)), _unreadable(schema))
         outcome = outcome.when(
             F.col("dataset") == dataset, F.when(broken, MALFORMED).otherwise("landed")
         )

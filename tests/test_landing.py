@@ -91,10 +91,11 @@ def test_a_replayed_batch_replaces_itself(spark, target):
 
 
 def test_batch_form_counts(spark):
-    lines = [json.dumps(r) for r in (FX, ORDER, OTHER)] + ["{", "null", ""]
+    lines = [json.dumps(r) for r in (FX, ORDER, OTHER, BAD_TIME)] + ["{", "null", ""]
     routed = landing.with_dataset(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert rows(landing.route_outcomes(routed, BRONZE)) == sorted(
         [("bronze_fx_rates", "landed", 1), ("bronze_orders", "landed", 1),
+         ("bronze_orders", landing.MALFORMED, 1),
          ("returns", landing.UNKNOWN_DATASET, 1), (None, landing.MALFORMED, 3)],
         key=repr,
     )
