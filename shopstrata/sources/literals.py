@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _literal(value: object) -> str:
@@ -20,6 +21,11 @@ def _literal(value: object) -> str:
     return f"'{text}'"
 
 
+def literal_array(values: Iterable) -> Column:
+    """Constant array, made in one call instead of one per value."""
+    return F.expr("array(" + ", ".join(_literal(v) for v in values) + ")")
+
+
 def literal_table(spark: SparkSession, columns: str, rows: Iterable[Sequence]) -> DataFrame:
     """``columns`` is a list of names such as ``"code, name"``."""
     body = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)

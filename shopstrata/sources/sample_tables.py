@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from shopstrata import fixed_values as fixed
 from shopstrata.functions.money import cents, from_cents, round_half_up
 from shopstrata.operators.lines import order_rollup
+from shopstrata.sources.literals import literal_array
 from shopstrata.sources.payloads import cities
 
 AS_OF = "2024-01-31"
@@ -45,9 +46,7 @@ class SampleTables:
 def _pick(key: Column, values: Sequence[str], every: int = 1) -> Column:
     """values[(key / every) mod n]; the list becomes a constant array."""
     index = F.floor(key / every) if every > 1 else key
-    return F.element_at(
-        F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int") + 1
-    )
+    return F.element_at(literal_array(values), (index % len(values)).cast("int") + 1)
 
 
 def _padded(number: Column, width: int) -> Column:
@@ -323,7 +322,7 @@ def weather(tables: SampleTables) -> DataFrame:
 def rate_documents(tables: SampleTables) -> DataFrame:
     """One rates document per event, quoting four currencies; some failed, some null rates."""
     e, u = F.col("event_id"), F.col("user_id")
-    codes = F.array(*[F.lit(c) for c in QUOTED_CODES])
+    codes = literal_array(QUOTED_CODES)
     rates = F.map_from_entries(
         F.transform(
             F.sequence(F.lit(0), F.lit(3)),

@@ -164,14 +164,10 @@ def upsert_table(
 def _merge_into(
     table: str, source: DataFrame, keys: Sequence[str], newer_by: str | None
 ) -> None:
-    matches = F.lit(True)
-    for key in keys:
-        matches = matches & (F.col(f"source.{key}") == F.col(f"target.{key}"))
-    spark = source.sparkSession
-    spark.read.table(table)  # fails early on a wrong name
-    if newer_by:
-        newest = F.col(f"source.{newer_by}") >= F.col(f"target.{newer_by}")
-        writer = source.alias("source").mergeInto(table, matches).whenMatched(newest)
-    else:
-        writer = source.alias("source").mergeInto(table, matches).whenMatched()
-    writer.updateAll().whenNotMatched().insertAll().merge()
+    same_key = " AND ".join(f"target.`{k}` = source.`{k}`" for k in keys)
+    newest = f" AND source.`{newer_by}` >= target.`{newer_by}`" if newer_by else ""
+    source.sparkSession.sql(
+        f"MERGE INTO {table} AS target USING {{rows}} AS source ON {same_key}"
+        f" WHEN MATCHED{newest} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
+        rows=source,
+    )

@@ -82,6 +82,16 @@ def test_upsert_table_swaps_snapshots(spark, database):
     assert rows(spark.table(table)) == [(1, "a"), (2, "b"), (3, "b")]
 
 
+def test_merge_statement_is_understood(spark, database):
+    """No row-level provider is installed: the statement gets as far as being refused for Parquet."""
+    table = f"{database}.flat"
+    spark.sql(f"CREATE TABLE {table} (k INT, v STRING) USING parquet")
+    source = spark.createDataFrame([(1, "a")], "k int, v string")
+    for newer_by in (None, "v"):
+        with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
+            catalog._merge_into(table, source, ["k"], newer_by)
+
+
 def test_a_failed_upsert_leaves_the_table_as_it_was(spark, database):
     table = f"{database}.safe"
     spark.sql(f"CREATE TABLE {table} (k INT, v STRING) USING parquet")
