@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstrata.llm.columns import let
 from shopstrata.llm.scratch import new_path, written
 
 CRLF = "\r\n"
@@ -43,13 +44,15 @@ HTTP_HEAD = CRLF.join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-
 def base32_sha1(payload: Column) -> Column:
     """Upper-case base32 of the SHA-1: five hexadecimal digits are four characters."""
 
-    def four(at: Column) -> Column:
-        value = F.conv(F.substring(F.sha1(payload.cast("binary")), at, F.lit(5)), 16, 10).cast("int")
+    def four(digits: Column, at: int) -> Column:
+        value = F.conv(F.substring(digits, at, 5), 16, 10).cast("int")
         return F.concat(
             *[F.substring(F.lit(BASE32), F.shiftright(value, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
         )
 
-    return F.concat(*[four(F.lit(1 + 5 * i)) for i in range(8)])
+    return let(
+        F.sha1(payload.cast("binary")), lambda h: F.concat(*[four(h, 1 + 5 * i) for i in range(8)])
+    )
 
 
 def _pieces(text: Column, size: int) -> Column:
