@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm import chat, decontaminate, quality, urls, warc
+from shopstrata.llm import chat, chosenpath, decontaminate, quality, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.rotate(_table(spark, folder, "conversations"))
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return chosenpath.join(_table(spark, folder, "documents")).drop("text_key", "group_key")
+
+
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(_table(spark, folder, "pages"))
 
@@ -45,6 +49,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_decontamination": op4_decontamination,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filters": op8_url_filters,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
@@ -53,6 +58,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op4_decontamination": decontaminate.ORACLE,
     "op6_chat_formatting": chat.ORACLE,
+    "op7_jaccard_join": chosenpath.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
 }
