@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm import chat, chosenpath, decontaminate, quality, urls, warc
+from shopstrata.llm import chat, chosenpath, decontaminate, maxent, quality, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score(_table(spark, folder, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -47,6 +51,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op4_decontamination": op4_decontamination,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_jaccard_join": op7_jaccard_join,
