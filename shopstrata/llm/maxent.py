@@ -56,16 +56,41 @@ class Shape:
     batch: int = 8192  # tokens an update
 
 
-def tokens(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and suffix of each word, and the end."""
-    hashes, starts, ends = words(text, BLANK_WORDS)
-    data = BLANK_WORDS[np.frombuffer(text, dtype=np.uint8)].astype(np.int32)
-    suffix = np.empty(len(hashes) + 1, dtype=np.int32)
+@dataclass(frozen=True)
+class Tokens:
+    """The tokens of some texts, one after the other: hash, suffix, place in the text, and tokens per text."""
+
+    keys: np.ndarray
+    suffix: np.ndarray
+    at: np.ndarray
+    sizes: np.ndarray
+
+
+def tokens(texts: list[bytes]) -> Tokens:
+    joined = b"\n".join(texts) + b"\n"
+    hashes, starts, ends = words(joined, BLANK_WORDS)
+    text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+    place = np.arange(len(hashes)) + text  # each earlier text has put in its end
+    keys = np.full(len(hashes) + len(texts), END)
+    suffix = np.full(len(keys), END_SUFFIX, dtype=np.int32)
     if len(hashes):
-        before = np.where(ends - starts > 1, data[ends - 2], 0)
-        suffix[:-1] = before * 256 + data[ends - 1]
-    suffix[-1] = END_SUFFIX
-    return np.append(hashes, END), suffix
+        data = BLANK_WORDS[np.frombuffer(joined, dtype=np.uint8)].astype(np.int32)
+        keys[place] = hashes
+        suffix[place] = np.where(ends - starts > 1, data[ends - 2], 0) * 256 + data[ends - 1]
+    sizes = np.bincount(text, minlength=len(texts)) + 1
+    return Tokens(keys, suffix, np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes), sizes)
+
+
+def in_portions(batches: Iterator[pa.RecordBatch], size: int = 1 << 17) -> Iterator[tuple[pa.RecordBatch, Tokens]]:
+    """Slices of the batches with their tokens; a slice ends where its texts reach ``size`` bytes."""
+    for batch in batches:
+        texts, held, first = [], 0, 0
+        for i, text in enumerate(batch.column("text")):
+            texts.append(text.as_py().encode())
+            held += len(texts[-1])
+            if held >= size or i == batch.num_rows - 1:
+                yield batch.slice(first, len(texts)), tokens(texts)
+                texts, held, first = [], 0, i + 1
 
 
 # --- counts ---------------------------------------------------------------------
@@ -86,17 +111,15 @@ def _count(flush: int = 1 << 20):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for b in batches:
-            for text in b.column("text"):
-                keys, suffix = tokens(text.as_py().encode())
-                parts.append((keys, np.ones(len(keys)), suffix))
-                held += len(keys)
-                if held > flush:
-                    parts = merged(parts)
-                    held = len(parts[0][0])
-                    if held > flush // 2:
-                        yield batch(parts[0])
-                        parts, held = [], 0
+        for _, found in in_portions(batches):
+            parts.append((found.keys, np.ones(len(found.keys)), found.suffix))
+            held += len(found.keys)
+            if held > flush:
+                parts = merged(parts)
+                held = len(parts[0][0])
+                if held > flush // 2:
+                    yield batch(parts[0])
+                    parts, held = [], 0
         if parts:
             yield batch(merged(parts)[0])
 
@@ -184,10 +207,15 @@ def describe(counts: DataFrame, shape: Shape) -> Words:
 # --- the model -------------------------------------------------------------------
 
 
-def features(keys: np.ndarray, shape: Shape) -> np.ndarray:
+def features(found: Tokens, shape: Shape) -> np.ndarray:
     """Weight rows of each token's history, one column per feature."""
-    padded = np.concatenate([np.full(3, START), keys])
-    w1, w2, w3 = padded[2:-1], padded[1:-2], padded[:-3]
+
+    def earlier(n: int) -> np.ndarray:
+        keys = np.concatenate([np.full(n, START), found.keys])[: len(found.keys)]
+        keys[found.at < n] = START
+        return keys
+
+    w1, w2, w3 = earlier(1), earlier(2), earlier(3)
     with np.errstate(over="ignore"):
         two = w1 * np.uint64(3) + mix(w2)
         raw = [w1, two, mix(two) + w3, w2, w3]
@@ -196,40 +224,55 @@ def features(keys: np.ndarray, shape: Shape) -> np.ndarray:
         ).astype(np.uint16 if shape.rows <= 1 << 16 else np.uint32)
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    logits = weights[rows[:, 0]] + bias
+def logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    total = np.take(weights, rows[:, 0], axis=0)
+    total += bias
     for k in range(1, rows.shape[1]):
-        logits += weights[rows[:, k]]
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+        total += np.take(weights, rows[:, k], axis=0)
+    return np.clip(total, -60, 60, out=total)  # so that exp() needs no shift
 
 
 class Learner:
-    """AdaGrad over the documents of one task."""
+    """AdaGrad over the documents of one task, with one step size a weight row."""
 
     def __init__(self, weights: np.ndarray, bias: np.ndarray, shape: Shape):
         self.weights, self.bias, self.shape = weights.copy(), bias.copy(), shape
-        self.squares = np.full_like(self.weights, 1.0)
-        self.bias_squares = np.full_like(self.bias, 1.0)
+        self.squares = np.full(len(weights), 0.1, dtype=np.float32)
+        self.bias_square = 0.1
         self.seen = np.zeros(len(weights), dtype=np.float32)
 
     def update(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        error = np.exp(log_softmax(self.weights, self.bias, rows))
+        error = np.exp(logits(self.weights, self.bias, rows))
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(classes)), classes] -= 1
         total = error.sum(axis=0)
-        self.bias_squares += total**2
-        self.bias -= self.shape.rate * total / np.sqrt(self.bias_squares)
-        flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
-        ordered = flat[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        gradient = np.add.reduceat(error[order // rows.shape[1]], first, axis=0)
+        self.bias_square += float((total**2).mean())
+        self.bias -= self.shape.rate * total / np.float32(math.sqrt(self.bias_square))
+        for k in range(rows.shape[1]):
+            self._step(rows[:, k], error)
+
+    def _step(self, rows: np.ndarray, error: np.ndarray) -> None:
+        """One feature's rows. A row of one token takes that token's error as it is; the others are summed."""
+        order = np.argsort(rows, kind="stable")
+        ordered = rows[order]
+        new = np.ones(len(ordered), dtype=bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        first = np.flatnonzero(new)
+        many = np.diff(np.append(first, len(ordered)))
         touched = ordered[first]
-        squares = self.squares[touched] + gradient**2
+        gradient = np.take(error, order[first], axis=0)
+        repeated = np.flatnonzero(many > 1)
+        if len(repeated):
+            inside = np.repeat(many > 1, many)
+            counts = many[repeated]
+            gradient[repeated] = np.add.reduceat(
+                np.take(error, order[inside], axis=0), np.cumsum(counts) - counts, axis=0
+            )
+        squares = self.squares[touched] + np.einsum("ij,ij->i", gradient, gradient) / np.float32(error.shape[1])
         self.squares[touched] = squares
-        self.weights[touched] -= self.shape.rate * gradient / np.sqrt(squares)
-        self.seen[touched] += np.diff(np.append(first, len(ordered)))
+        gradient *= (np.float32(self.shape.rate) / np.sqrt(squares))[:, None]
+        self.weights[touched] -= gradient
+        self.seen[touched] += many
 
 
 _BLOCKS = 64
@@ -241,20 +284,17 @@ def _train(shared, known, shape: Shape, fan: int):
         weights, bias = shared.value
         learner, vocabulary = Learner(weights, bias, shape), known.value
         rows, classes, held, total = [], [], 0, 0
-        for batch in batches:
-            for text in batch.column("text"):
-                keys, suffix = tokens(text.as_py().encode())
-                at, inside = vocabulary.look_up(keys)
-                place = vocabulary.class_of(at, inside, suffix)
-                found = features(keys, shape)
-                for i in range(0, len(keys), shape.batch):  # a long text is several updates
-                    rows.append(found[i : i + shape.batch])
-                    classes.append(place[i : i + shape.batch])
-                    held += len(classes[-1])
-                    if held >= shape.batch:
-                        learner.update(np.concatenate(rows), np.concatenate(classes))
-                        total += held
-                        rows, classes, held = [], [], 0
+        for _, found in in_portions(batches):
+            at, inside = vocabulary.look_up(found.keys)
+            rows.append(features(found, shape))
+            classes.append(vocabulary.class_of(at, inside, found.suffix))
+            held += len(found.keys)
+            while held >= shape.batch:
+                waiting_rows, waiting = np.concatenate(rows), np.concatenate(classes)
+                learner.update(waiting_rows[: shape.batch], waiting[: shape.batch])
+                rows, classes = [waiting_rows[shape.batch :]], [waiting[shape.batch :]]
+                held -= shape.batch
+                total += shape.batch
         if held:
             learner.update(np.concatenate(rows), np.concatenate(classes))
             total += held
@@ -321,42 +361,52 @@ def _score(shared, known, shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
         vocabulary = known.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                yield scored(batch.slice(at, 500), weights, bias, vocabulary)
-
-    def scored(batch, weights, bias, vocabulary) -> pa.RecordBatch:
-        rare_words, rare_counts, sizes, values = [], [], [], []
-        for text in batch.column("text"):
-            keys, suffix = tokens(text.as_py().encode())
-            at, inside = vocabulary.look_up(keys)
-            classes = vocabulary.class_of(at, inside, suffix)
-            rows = features(keys, shape)
-            model = 0.0
-            for i in range(0, len(keys), shape.batch):
-                logs = log_softmax(weights, bias, rows[i : i + shape.batch])
-                model += float(logs[np.arange(len(logs)), classes[i : i + shape.batch]].sum(dtype=np.float64))
-            model /= math.log(10)
-            counts = np.log10(vocabulary.head_n[at[inside]] + SMOOTHING)
-            shared_class = classes > shape.singles
-            model += float(np.log10(vocabulary.head_n[at[inside & shared_class]] + SMOOTHING).sum())
-            model -= float(np.log10(vocabulary.mass[classes[shared_class]]).sum())
-            rare, tf = np.unique(keys[~inside], return_counts=True)
-            if not len(rare):  # a row that matches nothing keeps the document
-                rare, tf = keys[:1], np.zeros(1, dtype=np.int64)
-            rare_words.append(rare)
-            rare_counts.append(tf)
-            sizes.append(len(rare))
-            values.append((len(keys), int(inside.sum()), float(counts.sum()) - len(keys) * vocabulary.base_log, model))
-        sizes = np.array(sizes, dtype=np.int64)
-        first = np.zeros(int(sizes.sum()), dtype=bool)
-        first[np.cumsum(sizes) - sizes] = True
-        index = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+        for batch, found in in_portions(batches):
+            yield scored(batch, found, weights, bias, vocabulary)
+
+    def scored(batch, found, weights, bias, vocabulary) -> pa.RecordBatch:
+        at, inside = vocabulary.look_up(found.keys)
+        classes = vocabulary.class_of(at, inside, found.suffix)
+        rows = features(found, shape)
+        model = np.empty(len(classes))
+        for i in range(0, len(classes), shape.batch):
+            part = classes[i : i + shape.batch]
+            sums = logits(weights, bias, rows[i : i + shape.batch])
+            own = sums[np.arange(len(part)), part].astype(np.float64)
+            model[i : i + shape.batch] = own - np.log(np.exp(sums, out=sums).sum(axis=1))
+        model /= math.log(10)
+        counts = np.zeros(len(classes))
+        counts[inside] = np.log10(vocabulary.head_n[at[inside]] + SMOOTHING)
+        shared_class = classes > shape.singles
+        model[shared_class] += counts[shared_class] - np.log10(vocabulary.mass[classes[shared_class]])
+        base = counts - vocabulary.base_log
+        text = np.repeat(np.arange(len(found.sizes)), found.sizes)
+        many = len(found.sizes)
+        values = [
+            found.sizes.astype(np.int64), np.bincount(text, inside, many).astype(np.int64),
+            np.bincount(text, base, many), np.bincount(text, model, many),
+        ]
+        # The words outside the head, each once per text; a text without any gets a row that counts for nothing.
+        outside = np.flatnonzero(~inside)
+        order = np.lexsort((found.keys[outside], text[outside]))
+        owner, word = text[outside][order], found.keys[outside][order]
+        new = np.ones(len(word), dtype=bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])
+        start = np.flatnonzero(new)
+        tf = np.diff(np.append(start, len(word)))
+        none = np.setdiff1d(np.arange(many), owner[start])
+        owner, word = np.append(owner[start], none), np.append(word[start], np.full(len(none), END))
+        tf = np.append(tf, np.zeros(len(none), dtype=np.int64))
+        order = np.argsort(owner, kind="stable")
+        owner, word, tf = owner[order], word[order], tf[order]
+        first = np.ones(len(owner), dtype=bool)
+        first[1:] = owner[1:] != owner[:-1]
+        index = pa.array(owner)
         arrays = [batch.column(c).take(index) for c in ("doc_id", "text_key", "held_out")]
-        arrays += [pa.array(np.concatenate(rare_words).view(np.int64)), pa.array(np.concatenate(rare_counts)), pa.array(first)]
-        for k, kind in enumerate((np.int64, np.int64, np.float64, np.float64)):
-            column = np.zeros(len(first), dtype=kind)
-            column[first] = [v[k] for v in values]
+        arrays += [pa.array(word.view(np.int64)), pa.array(tf), pa.array(first)]
+        for value in values:
+            column = np.zeros(len(first), dtype=value.dtype)
+            column[first] = value
             arrays.append(pa.array(column))
         return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in _ROWS.split(", ")])
 
