@@ -99,6 +99,7 @@ def _buckets(classes: DataFrame, runs: int, levels: int, limit: int) -> DataFram
     entries = starts.select("cls", "run", F.xxhash64("run", "token").alias("bucket"))
     finals = []
     for level in range(levels):
+        entries = written(entries, f"entries-{level}")  # counted and joined below
         counts = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         sized = written(entries.join(counts, "bucket"), f"path-{level}")
         if level == levels - 1:
