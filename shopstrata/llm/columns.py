@@ -75,3 +75,39 @@ def prefix_sums(lengths: Column, block: int = 256) -> Column:
         .when(F.size(v) <= block, running(v, F.lit(0)))
         .otherwise(blocked(v)),
     )
+
+
+def spans(text: Column, pattern: str, around: int = 40) -> Column:
+    """All matches as ``array<struct<start, end, hit, before, after>>``, in code points, end exclusive.
+
+    The texts between the matches give the places: Java's split and find see the same matches.
+    ``before`` and ``after`` are up to ``around`` characters on either side, up to the next match.
+    """
+
+    def placed(hits: Column, gaps: Column) -> Column:
+        lengths = F.transform(hits, lambda h, i: F.char_length(F.get(gaps, i)) + F.char_length(h))
+        return let(
+            prefix_sums(lengths),
+            lambda sums: F.transform(
+                hits,
+                lambda h, i: F.struct(
+                    (F.get(sums, i) + F.char_length(F.get(gaps, i))).alias("start"),
+                    (F.get(sums, i) + F.char_length(F.get(gaps, i)) + F.char_length(h)).alias("end"),
+                    h.alias("hit"),
+                    F.right(F.get(gaps, i), F.lit(around)).alias("before"),
+                    F.left(F.get(gaps, i + 1), F.lit(around)).alias("after"),
+                ),
+            ),
+        )
+
+    empty = F.array().cast(
+        "array<struct<start:bigint,end:bigint,hit:string,before:string,after:string>>"
+    )
+    found = let(
+        F.struct(
+            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+            F.split(text, pattern, -1).alias("gaps"),
+        ),
+        lambda m: let(m["hits"], lambda hits: let(m["gaps"], lambda gaps: placed(hits, gaps))),
+    )
+    return F.when(F.rlike(text, F.lit(pattern)), found).otherwise(empty)

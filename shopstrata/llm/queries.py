@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm import chat, chosenpath, decontaminate, maxent, quality, urls, warc
+from shopstrata.llm import chat, chosenpath, decontaminate, maxent, mixing, pii, quality, secrets, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,10 +20,23 @@ def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return maxent.score(_table(spark, folder, "documents"))
 
 
+def op2_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(_table(spark, folder, "documents"))
+    return found.select("doc_id", "start", "end", F.sha2("hit", 256).alias("secret_sha256"), "score", "is_secret")
+
+
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(_table(spark, folder, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.rotate(_table(spark, folder, "conversations"))
 
@@ -52,7 +65,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_secret_scans": op2_secret_scans,
+    "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
+    "op5_mixing": op5_mixing,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filters": op8_url_filters,
