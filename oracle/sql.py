@@ -211,7 +211,8 @@ VIEWS = {
                {_lineage('bronze_weather', "'w' || e", "ts")}
         FROM (SELECT *, event_id AS e FROM events) AS v LEFT JOIN place ON position = user_id % 10""",
     "names": f"""
-        SELECT *, {_strip(_strip('trim(name)', fixed.HONORIFIC_PREFIX), fixed.NAME_SUFFIX)} AS clean_name
+        SELECT * REPLACE (trim({_strip('trim(' + _strip('phone', fixed.X_EXTENSION) + ')', fixed.WORD_EXTENSION)}) AS phone),
+               {_strip(_strip('trim(name)', fixed.HONORIFIC_PREFIX), fixed.NAME_SUFFIX)} AS clean_name
         FROM feed_users""",
     "clean_products": f"""
         SELECT * EXCLUDE ({_FEED_COLUMNS}, orders_last_15min),
@@ -261,7 +262,7 @@ VIEWS = {
                    max(silver_processed_date) AS rate_date
             FROM clean_fx GROUP BY target_currency) AS f ON f.target_currency = m.code""",
     "days": f"""
-        SELECT CAST(unnest(range(first_day, least({_AS_OF}, first_day + 1094) + 1, INTERVAL 1 DAY)) AS DATE) AS date
+        SELECT CAST(unnest(range(first_day, {_AS_OF} + 1, INTERVAL 1 DAY)) AS DATE) AS date
         FROM (SELECT CAST(min(ordered_at) AS DATE) AS first_day FROM feed_orders) AS b""",
     "date_dim": """
         SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_sk, date, strftime(date, '%Y-%m-%d') AS date_str,
@@ -327,7 +328,7 @@ VIEWS = {
                {_exact('net_total_usd')} AS net_revenue_usd,
                {_r(_exact('order_total_usd') + ' / count(order_total_usd)', 2)} AS avg_order_value_usd,
                max(order_total_usd) AS max_order_value_usd,
-               CAST(round(sum(CAST(order_total_usd * commission_rate AS DECIMAL(28,8))), 2) AS DOUBLE) AS total_commission_usd,
+               CAST(round(sum(CAST(order_total_usd * commission_rate AS DECIMAL(28,12))), 2) AS DOUBLE) AS total_commission_usd,
                count(*) FILTER (has_discount) AS discounted_orders,
                {_r('count(*) FILTER (has_discount) * 100e0 / count(order_id)', 1)} AS discount_rate_pct,
                count(*) FILTER (order_value_band = 'low') AS low_value_orders,
@@ -385,7 +386,7 @@ _DATE_OF_ORDER = VIEWS["date_dim"].replace("FROM days", "FROM (SELECT *, CAST(o_
 
 QUERIES = {
     "scan_partition": """
-        SELECT CAST(o_orderdate AS DATE) AS ingestion_date, count(*) AS rows FROM orders GROUP BY 1""",
+        SELECT *, CAST(o_orderdate AS DATE) AS ingestion_date FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-03-14'""",
     "fx_flatten": f"""
         SELECT event_id AS document_id, 'USD' AS base_currency, code AS target_currency,
                (1 + (event_id + i) % 400) / 100e0 AS exchange_rate, strftime(ts, '%Y-%m-%d') AS rate_date_utc,
@@ -527,11 +528,11 @@ QUERIES = {
         FROM line_documents GROUP BY order_id""",
     "reconcile_orders": f"""
         SELECT order_id,
-               abs(CAST(discount_total AS DECIMAL(18,2)) - (CAST(gross_total AS DECIMAL(18,2))
-                   - CAST(net_total AS DECIMAL(18,2)))) > 0.01 AS discount_off,
-               abs(CAST(tax_amount AS DECIMAL(18,2)) - CAST({_r('net_total * tax_rate', 2)} AS DECIMAL(18,2))) > 0.01 AS tax_off,
-               abs(CAST(order_total AS DECIMAL(18,2)) - (CAST(net_total AS DECIMAL(18,2))
-                   + CAST(shipping_cost AS DECIMAL(18,2)) + CAST(tax_amount AS DECIMAL(18,2)))) > 0.01 AS total_off
+               abs(CAST(discount_total AS DECIMAL(28,8)) - (CAST(gross_total AS DECIMAL(28,8))
+                   - CAST(net_total AS DECIMAL(28,8)))) > 0.01 AS discount_off,
+               abs(CAST(tax_amount AS DECIMAL(28,8)) - CAST({_r('net_total * tax_rate', 2)} AS DECIMAL(28,8))) > 0.01 AS tax_off,
+               abs(CAST(order_total AS DECIMAL(28,8)) - (CAST(net_total AS DECIMAL(28,8))
+                   + CAST(shipping_cost AS DECIMAL(28,8)) + CAST(tax_amount AS DECIMAL(28,8)))) > 0.01 AS total_off
         FROM feed_orders""",
     "price_stock_flags": f"""
         SELECT product_id, run_id, coalesce(retail_category, 'Other') AS retail_category,

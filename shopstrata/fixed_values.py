@@ -97,7 +97,6 @@ CURRENCIES = [
 DEFAULT_CURRENCY = "USD"
 DEFAULT_RATE = 1.0
 UNKNOWN_KEY = -1
-DATE_SPINE_DAYS = 1095
 
 # --- bands: (edges, labels, label beyond the last edge) ---------------------
 

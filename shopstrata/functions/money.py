@@ -32,6 +32,11 @@ def to_base_currency(amount: Column, rate: Column) -> Column:
     return round_half_up(amount / rate, 2)
 
 
+def exact(amount: Column) -> Column:
+    """The decimal value a DOUBLE stands for, without binary noise."""
+    return amount.cast(_NOISE_FREE)
+
+
 def cents(amount: Column) -> Column:
     """Whole cents of an amount with at most two decimals."""
     return F.rint(amount * 100).cast("bigint")
@@ -46,9 +51,9 @@ def exact_sum(amount: Column) -> Column:
     return from_cents(F.sum(cents(amount)))
 
 
-def fine_sum(amount: Column) -> Column:
-    """Order-independent sum of products of amounts and rates, kept to six decimals."""
-    return F.sum(F.rint(amount * 1_000_000).cast("bigint")) / F.lit(1_000_000.0)
+def decimal_sum(amount: Column) -> Column:
+    """Order-independent sum of products of amounts and rates: a cent amount times a rate of ten decimals is exact."""
+    return F.sum(amount.cast("decimal(28,12)")).cast("double")
 
 
 def share_pct(part: Column, whole: Column, digits: int = 1) -> Column:

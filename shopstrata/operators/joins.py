@@ -1,9 +1,8 @@
 """Joins against lookup tables.
 
-A broadcast is only ever asked for when the size of the lookup side is known:
-either fixed by construction or counted here, up to the bound. Beyond the bound
-the join is left to the optimizer, which shuffles both sides and splits skewed
-partitions at runtime.
+A broadcast is only asked for when the size of the lookup side is fixed by
+construction. Every other join is left to the optimizer, which goes by runtime
+sizes, or shuffles both sides and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -13,21 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a few short columns: well under 100 MB on every executor.
-MAX_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
-
-    The count stops at the bound, and only a number reaches the driver. Meant
-    for a side far smaller than the table it comes from (one row per group of a
-    big table), where the optimizer's own estimate would be far too high.
-    """
-    rows = df.select(F.lit(1).alias("one")).limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
-
-
 def left_lookup(
     facts: DataFrame, lookup: DataFrame, condition: Column | str | Sequence[str]
 ) -> DataFrame:

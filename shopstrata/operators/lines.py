@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstrata.functions.money import cents, from_cents, round_half_up
+from shopstrata.functions.money import cents, exact, from_cents, round_half_up
 from shopstrata.schemas import LINE_ITEM
 
 
@@ -99,21 +99,22 @@ def top_by(
 
 
 def reconcile(orders: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Recompute discount, tax and total of each order; flag the ones that are off."""
-    slack = round(tolerance * 100)
+    """Recompute discount, tax and total of each order; flag the ones that are off by more than ``tolerance``.
 
-    def off(stated: str, expected_cents: Column) -> Column:
-        gap = F.abs(cents(F.col(stated)) - expected_cents)
-        return F.coalesce(gap > slack, F.lit(False))
+    Amounts are compared as decimals, unrounded; only the recomputed tax is rounded, as it is when it is charged.
+    """
+    slack = exact(F.lit(tolerance))
+
+    def off(stated: str, expected: Column) -> Column:
+        return F.coalesce(F.abs(exact(F.col(stated)) - expected) > slack, F.lit(False))
 
-    tax = cents(round_half_up(F.col("net_total") * F.col("tax_rate"), 2))
-    discount = cents(F.col("gross_total")) - cents(F.col("net_total"))
-    total = cents(F.col("net_total")) + cents(F.col("shipping_cost")) + cents(F.col("tax_amount"))
+    gross, net = exact(F.col("gross_total")), exact(F.col("net_total"))
+    tax = exact(round_half_up(F.col("net_total") * F.col("tax_rate"), 2))
     return orders.select(
         "order_id",
-        off("discount_total", discount).alias("discount_off"),
+        off("discount_total", gross - net).alias("discount_off"),
         off("tax_amount", tax).alias("tax_off"),
-        off("order_total", total).alias("total_off"),
+        off("order_total", net + exact(F.col("shipping_cost")) + exact(F.col("tax_amount"))).alias("total_off"),
     )
 
 

@@ -36,7 +36,7 @@ from shopstrata.operators.joins import decode
 from shopstrata.operators.lineage import Run, stamp
 from shopstrata.plans import gold, reports, silver
 from shopstrata.schemas import BRONZE
-from shopstrata.sources import payloads, sample_tables
+from shopstrata.sources import payloads, sample_tables, tables
 from shopstrata.sources.literals import literal_table
 from shopstrata.sources.sample_tables import SampleTables
 from shopstrata.streaming import landing
@@ -71,9 +71,9 @@ def all_queries() -> dict[str, Query]:
 
 @_register
 def scan_partition(t: SampleTables) -> DataFrame:
-    """Row count of every day partition."""
-    day = F.to_date("o_orderdate").alias("ingestion_date")
-    return t.read("orders").select(day).groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("rows"))
+    """The orders of one day, through the day scan's filter."""
+    dated = t.read("orders").withColumn("ingestion_date", F.to_date("o_orderdate"))
+    return tables.rows_of_day(dated, date(1998, 3, 14))
 
 
 @_register
@@ -435,9 +435,7 @@ def dim_currency(t: SampleTables) -> DataFrame:
 
 @_register
 def dim_date(t: SampleTables) -> DataFrame:
-    # The spine needs only the first order time. The feed has it too: its gate
-    # refuses repeated order ids, so cleaning takes no row away.
-    return gold.date_dim(sample_tables.order_times(t), RUN.as_of)
+    return gold.date_dim(silver_orders(t).select("ordered_at"), RUN.as_of)
 
 
 @_register

@@ -12,7 +12,7 @@ from shopstrata import fixed_values as fixed
 from shopstrata.functions.bands import band
 from shopstrata.functions.money import (
     exact_sum,
-    fine_sum,
+    decimal_sum,
     ratio,
     round_half_up,
     share_pct,
@@ -20,8 +20,8 @@ from shopstrata.functions.money import (
 )
 from shopstrata.functions.times import business_date, calendar_parts, round_to_millis
 from shopstrata.operators import quality
-from shopstrata.operators.dedup import first_per_group, latest_per_key
-from shopstrata.operators.joins import allowed_only, broadcast_if_small, left_lookup
+from shopstrata.operators.dedup import latest_per_key
+from shopstrata.operators.joins import allowed_only, left_lookup
 from shopstrata.operators.quality import Gate
 from shopstrata.sources.literals import literal_table
 
@@ -61,18 +61,17 @@ def currency_dim(rates: DataFrame) -> DataFrame:
 def date_dim(
     orders: DataFrame,
     as_of: date,
-    max_days: int = fixed.DATE_SPINE_DAYS,
-    cap_by_rows: bool = False,
+    max_days: int | None = None,
 ) -> DataFrame:
-    """One row per day from the first order on, up to ``as_of`` or ``max_days`` days.
+    """One row per day from the first order up to ``as_of``, or ``max_days`` days where that is asked for.
 
-    ``cap_by_rows`` also ends the spine after as many days as there are orders.
-    Needs nothing of ``orders`` but ``ordered_at``, and only two numbers of it.
+    Needs nothing of ``orders`` but ``ordered_at``, and only its minimum.
     """
     first = F.min("ordered_at").cast("date")
-    days = F.least(F.lit(max_days), F.count(F.lit(1))) if cap_by_rows else F.lit(max_days)
-    bounds = orders.agg(first.alias("first_day"), days.cast("int").alias("days"))
-    last = F.least(F.lit(as_of), F.date_add("first_day", F.col("days") - 1))
+    bounds = orders.agg(first.alias("first_day"))
+    last = F.lit(as_of)
+    if max_days is not None:
+        last = F.least(last, F.date_add("first_day", max_days - 1))
     spine = bounds.select(
         F.explode(
             F.when(last >= F.col("first_day"), F.sequence(F.col("first_day"), last))
@@ -139,20 +138,24 @@ class Dimensions:
 
 
 def category_representatives(products: DataFrame) -> DataFrame:
-    """The product with the smallest key of each category."""
-    return first_per_group(
-        products, ["category"], ["product_sk"], ["category", "product_sk", "price_band"]
+    """The product with the smallest key of each category.
+
+    An aggregation, so that each task sends one row per category and the join
+    sees at runtime how few there are.
+    """
+    smallest = F.min(F.struct("product_sk", "price_band")).alias("first")
+    return products.where("product_sk IS NOT NULL").groupBy("category").agg(smallest).select(
+        "category", "first.product_sk", "first.price_band"
     )
 
 
 def fact_orders(orders: DataFrame, dims: Dimensions) -> DataFrame:
     """Every order once, with its dimension keys (-1 / USD when unknown) and USD amounts.
 
-    Currencies and dates are small by construction and broadcast. Category
-    representatives are counted first. Users and sellers grow with the business:
-    the optimizer broadcasts them only while they are small, and otherwise
-    shuffles on the natural key, which keeps NULL and unknown keys apart
-    instead of piling them up on one substitute value.
+    Currencies are a fixed list and broadcast. The joins with dates, categories,
+    users and sellers are left to the optimizer and its runtime sizes; where it
+    shuffles, it does so on the natural key, which keeps NULL and unknown keys
+    apart instead of piling them up on one substitute value.
     """
     placed = orders.withColumns(
         {
@@ -194,9 +197,9 @@ def fact_orders(orders: DataFrame, dims: Dimensions) -> DataFrame:
     # map-side lookups then widen them within the last stage.
     joined = left_lookup(placed, users, "user_id")
     joined = left_lookup(joined, sellers, "top_seller_id")
-    joined = left_lookup(joined, broadcast_if_small(representatives), "top_category")
+    joined = left_lookup(joined, representatives, "top_category")
     joined = left_lookup(joined, F.broadcast(currencies), "currency")
-    joined = left_lookup(joined, F.broadcast(days), "_day")
+    joined = left_lookup(joined, days, "_day")
 
     def known(key: str, unknown: object) -> Column:
         return F.coalesce(F.col(key), F.lit(unknown)).alias(key)
@@ -271,7 +274,7 @@ def daily_sales(fact: DataFrame) -> DataFrame:
         exact_sum(F.col("net_total_usd")).alias("net_revenue_usd"),
         ratio(total, priced, 2).alias("avg_order_value_usd"),
         F.max("order_total_usd").alias("max_order_value_usd"),
-        round_half_up(fine_sum(F.col("commission_usd")), 2).alias("total_commission_usd"),
+        round_half_up(decimal_sum(F.col("commission_usd")), 2).alias("total_commission_usd"),
         share_pct(F.count_if("has_discount"), orders).alias("discount_rate_pct"),
         *[F.count_if(test).alias(name) for name, test in counted.items()],
     )

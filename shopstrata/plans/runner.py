@@ -75,7 +75,7 @@ def run_gold(
     silver_db: str,
     gold_db: str,
     as_of: date,
-    max_days: int = fixed.DATE_SPINE_DAYS,
+    max_days: int | None = None,
 ) -> None:
     """Rebuild the star schema from the clean tables and test it.
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shopstrata import fixed_values as fixed
 from shopstrata.functions.bands import band, blank_to_null
 from shopstrata.functions.money import ratio
-from shopstrata.functions.people import email_parts, name_parts, phone_parts, plain_name
+from shopstrata.functions.people import email_parts, name_parts, phone_parts, plain_name, without_extension
 from shopstrata.functions.times import days_between, utc_from_text
 from shopstrata.operators import quality
 from shopstrata.operators.dedup import latest_per_key
@@ -46,14 +46,16 @@ def products(feed: DataFrame, run: Run) -> DataFrame:
 
 
 def users(feed: DataFrame, run: Run) -> DataFrame:
-    people = _latest(feed, "user_id").withColumn("_name", plain_name(F.col("name")))
+    people = _latest(feed, "user_id").withColumns(
+        {"_name": plain_name(F.col("name")), "_phone": without_extension(F.col("phone"))}
+    )
     derived: dict[str, Column] = {
         **name_parts(F.col("_name")),
         **email_parts(F.col("email")),
-        **phone_parts(F.col("phone")),
+        **phone_parts(F.col("_phone")),
         "account_age_days": days_between(F.lit(run.as_of), F.col("created_at")),
     }
-    anonymous = people.withColumns(derived).drop("_name", "name", "email", "phone")
+    anonymous = people.withColumns(derived).drop("_name", "_phone", "name", "email", "phone")
     return clean_lineage(anonymous, run, keep_updated_at=True)
 
 

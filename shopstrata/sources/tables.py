@@ -83,8 +83,15 @@ def scan_partition(
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One day of a table. The comparison is on the DATE partition, so it prunes folders."""
-    df = spark.read.table(table).where(F.col(column) == F.lit(day).cast("date"))
-    return df.select(*columns) if columns else df
+    return rows_of_day(spark.read.table(table), day, column, columns)
+
+
+def rows_of_day(
+    df: DataFrame, day: date, column: str = "ingestion_date", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The rows of one day, all columns or the named ones."""
+    found = df.where(F.col(column) == F.lit(day).cast("date"))
+    return found.select(*columns) if columns else found
 
 
 def scan_existing(

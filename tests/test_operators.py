@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopstrata.operators import lines as line_ops
 from shopstrata.operators import merge, quality
 from shopstrata.operators.dedup import first_per_group, latest_per_key
-from shopstrata.operators.joins import allowed_only, broadcast_if_small, decode
+from shopstrata.operators.joins import allowed_only, decode
 from shopstrata.operators.lineage import Run, clean_lineage, process_day, stamp
 from shopstrata.operators.quality import Gate
 from tests.conftest import rows
@@ -234,13 +234,15 @@ def test_line_items_and_amounts(spark):
 def test_reconcile_flags_amounts_that_are_off(spark):
     df = spark.createDataFrame(
         [("good", 100.0, 10.0, 90.0, 5.0, 0.1, 9.0, 104.0), ("cent", 100.0, 10.01, 90.0, 5.0, 0.1, 9.01, 104.02),
-         ("bad", 100.0, 12.0, 90.0, 5.0, 0.1, 9.5, 99.0), ("null", None, None, None, None, None, None, None)],
+         ("bad", 100.0, 12.0, 90.0, 5.0, 0.1, 9.5, 99.0), ("null", None, None, None, None, None, None, None),
+         ("part", 10.014, 0.0, 10.0, 0.0, 0.1, 1.0, 11.0)],
         "order_id string, gross_total double, discount_total double, net_total double,"
         " shipping_cost double, tax_rate double, tax_amount double, order_total double",
     )
     assert rows(line_ops.reconcile(df)) == [
         ("bad", True, True, True), ("cent", False, False, False),
         ("good", False, False, False), ("null", False, False, False),
+        ("part", True, False, False),
     ]
 
 
@@ -257,9 +259,3 @@ def test_code_lookup_and_allow_list(spark):
         [(0, "clear"), (7, "?"), (None, "?")], key=repr
     )
     assert rows(allowed_only(df, codes.select("code"), "code")) == [(0,)]
-
-
-def test_broadcast_only_under_the_bound(spark):
-    big = spark.range(1000)
-    assert "ResolvedHint" in broadcast_if_small(big, 1000)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(big, 999)._jdf.queryExecution().analyzed().toString()

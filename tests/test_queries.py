@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_points
+from oracle.sql import all_oracles
+from shopstrata.plans.catalogue import all_queries
 from tests.compare import differences, open_oracle
 
 FOLDER = "/root/testdata/sf0.001"
@@ -18,13 +20,13 @@ def oracle():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_its_counterpart(spark, oracle, name):
-    df = entry_points.queries()[name](spark, FOLDER)
-    assert differences(df, oracle, entry_points.oracle_sql()[name]) == []
+    df = all_queries()[name](spark, FOLDER)
+    assert differences(df, oracle, all_oracles()[name]) == []
 
 
 def test_entry(spark):
