@@ -52,7 +52,11 @@ def posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     sample = written(known.orderBy(F.xxhash64("_id"), "label").limit(max_train), "mix-labels")
     share = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     tokens = F.size("_words").cast("bigint").alias("n_tokens")
-    training = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+    # Joined before the texts are split, so that only the sample's are.
+    labelled = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(
+        F.broadcast(sample), F.col("_doc") == F.col("_id")
+    )
+    training = labelled.select(split_words(ascii_lower(F.coalesce("_text", F.lit("")))).alias("_words"), "label")
     rows = written(_features(training).select("features", "label"), "mix-training")
     if rows.select("label").distinct().count() < 2:
         total = sum(share.values()) + len(DOMAINS)
