@@ -31,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--silver_database", default="silver")
     silver.add_argument("--bronze_table")
     silver.add_argument("--silver_table")
+    silver.add_argument("--newer_by", help="column of a keyed table by which older rows do not replace newer ones")
 
     gold = commands.add_parser("gold", help="rebuild the star schema")
     gold.add_argument("--silver_database", default="silver")
@@ -63,6 +64,7 @@ def main(argv: list[str] | None = None) -> None:
             prefix + args.silver_database,
             args.bronze_table,
             args.silver_table,
+            args.newer_by,
         )
         print(outcome)
     elif args.command == "gold":

@@ -21,7 +21,7 @@ class Outcome:
     table: str
     day: date
     rows_read: int
-    written: bool
+    written: bool  # False for an empty day, and where every row had been appended before
 
 
 def run_partition(
@@ -33,11 +33,13 @@ def run_partition(
     silver_db: str,
     bronze_table: str | None = None,
     silver_table: str | None = None,
+    newer_by: str | None = None,
 ) -> Outcome:
     """Gate, clean and write one day. Two passes over the day: measure, then write.
 
     No rows: nothing happens. A broken rule: QualityError, nothing is written.
-    A repeat of a day appends only what is not there yet.
+    A repeat of a day appends only what is not there yet. Keyed tables take the last
+    writer's row; with ``newer_by``, a column of theirs, the repeat of an old day leaves newer rows alone.
     """
     clean = CLEAN_TABLES[clean] if isinstance(clean, str) else clean
     source = f"{bronze_db}.{bronze_table or clean.feed}"
@@ -52,11 +54,12 @@ def run_partition(
 
     if clean.upserts:
         cleaned = clean.transform(feed, run)
-        catalog.upsert_table(spark, target, cleaned, clean.keys, source_is_unique=True)
+        catalog.upsert_table(spark, target, cleaned, clean.keys, newer_by, source_is_unique=True)
+        written = True
     else:
         cleaned = clean.transform(_not_yet_written(spark, feed, clean, target, day), run)
-        catalog.append_table(cleaned, target)
-    return Outcome(target, day, rows, True)
+        written = catalog.append_table(cleaned, target) > 0
+    return Outcome(target, day, rows, written)
 
 
 def _not_yet_written(

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -113,10 +113,14 @@ def _sized_for_writing(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
-def append_table(df: DataFrame, table: str) -> None:
+def append_table(df: DataFrame, table: str) -> int:
+    """Appends the rows and says how many there were, counted by the write itself."""
     spark = df.sparkSession
     aligned = to_table_schema(df, spark.read.table(table).schema)
-    _sized_for_writing(aligned).write.mode("append").insertInto(table)
+    seen = Observation()
+    counted = _sized_for_writing(aligned).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").insertInto(table)
+    return seen.get["rows"]
 
 
 def overwrite_table(
@@ -172,7 +176,11 @@ def _merge_into(
     table: str, source: DataFrame, keys: Sequence[str], newer_by: str | None
 ) -> None:
     same_key = " AND ".join(f"target.`{k}` = source.`{k}`" for k in keys)
-    newest = f" AND source.`{newer_by}` >= target.`{newer_by}`" if newer_by else ""
+    newest = (
+        f" AND (target.`{newer_by}` IS NULL OR source.`{newer_by}` >= target.`{newer_by}`)"
+        if newer_by
+        else ""
+    )
     source.sparkSession.sql(
         f"MERGE INTO {table} AS target USING {{rows}} AS source ON {same_key}"
         f" WHEN MATCHED{newest} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",

@@ -53,6 +53,15 @@ def test_upsert_newer_by_ignores_a_replayed_old_row(spark):
     assert rows(got) == [(1, "now", 5), (2, "next", 6), (3, "add", 1)]
 
 
+def test_upsert_newer_by_with_missing_times_and_keys(spark):
+    target = spark.createDataFrame([(1, "timeless", None), (2, "now", 5), (3, None, None), (None, "kept", 5)], KV)
+    source = spark.createDataFrame([(1, "new", 1), (2, "timeless", None), (3, "new", None), (None, "added", 9)], KV)
+    got = merge.upsert(target, source, ["k"], newer_by="t")
+    assert rows(got) == sorted(
+        [(1, "new", 1), (2, "now", 5), (3, "new", None), (None, "kept", 5), (None, "added", 9)], key=repr
+    )
+
+
 keyed = st.dictionaries(st.integers(0, 6), st.text("ab", max_size=2), max_size=6)
 
 

@@ -85,8 +85,8 @@ def lake(spark, tmp_path):
         def put(self, feed_name, records, day=DAY, **kwargs):
             catalog.append_table(feed(spark, feed_name, records, day, **kwargs), f"{self.bronze}.{feed_name}")
 
-        def clean(self, table, day=DAY, run="run"):
-            return run_partition(spark, table, day, run_of(day, run), self.bronze, self.silver)
+        def clean(self, table, day=DAY, run="run", **more):
+            return run_partition(spark, table, day, run_of(day, run), self.bronze, self.silver, **more)
 
         def table(self, table):
             return spark.table(f"{self.silver}.silver_{table}")
@@ -103,9 +103,10 @@ def test_empty_day_writes_nothing(lake):
 def test_orders_are_appended_once(lake):
     lake.put("bronze_orders", [order(1), order(2, order_total=2000.0, discount_total=0.0, estimated_delivery_at=None)])
     assert lake.clean("orders", run="first").rows_read == 2
-    lake.clean("orders", run="again")
+    again = lake.clean("orders", run="again")
+    assert (again.rows_read, again.written) == (2, False)
     lake.put("bronze_orders", [order(3)])
-    lake.clean("orders", run="third")
+    assert lake.clean("orders", run="third").written
     got = lake.table("orders").select(
         "order_id", "has_discount", "order_value_band", "days_to_delivery", "last_run_id", "run_id",
         "run_timestamp", "silver_processed_date",
@@ -156,6 +157,17 @@ def test_users_are_upserted_without_personal_data(lake):
     assert not {"name", "email", "phone"} & set(got.columns)
 
 
+def test_the_repeat_of_an_old_day_can_leave_newer_rows(lake):
+    lake.put("bronze_users", [user(1), user(2)])
+    lake.put("bronze_users", [user(2, customer_tier="silver")], day=NEXT)
+    lake.clean("users", NEXT, run="d2")
+    lake.clean("users", run="d1", newer_by="silver_processed_date")
+    tiers = lake.table("users").select("user_id", "customer_tier")
+    assert rows(tiers) == [(1, "gold"), (2, "silver")]
+    lake.clean("users", run="d1")
+    assert rows(tiers.sparkSession.table(f"{lake.silver}.silver_users").select("user_id", "customer_tier")) == [(1, "gold"), (2, "gold")]
+
+
 def test_products_division_guard(lake):
     lake.put("bronze_products", [
         {"product_id": 1, "base_price": 3.0, "current_price": 2.0},
