@@ -8,7 +8,8 @@ Documents with equal sets form a class, and the join runs over the classes:
    share most shingles sample the same ones.
 2. A sampled shingle is a bucket. Buckets of at most ``limit`` sets are compared by brute
    force; larger ones are split again on the shingles sampled at the next level. A bucket
-   that still is too large at the last level is compared in pairs of blocks.
+   that still is too large at the last level is compared in pairs of blocks, which hold
+   at most about ``BLOCK`` sets and ``MASS`` shingles, whichever is reached first.
 3. Each pair belongs to the first bucket that both sets are in, so it is compared
    once, and no list of pairs is ever made: a task returns per set its number
    of links and one edge to the smallest set of its local group.
@@ -37,6 +38,8 @@ from shopstrata.llm.wordhash import BLANK_WORDS, mix, shingles, words
 
 LIMIT = 256
 LEVELS = 3
+BLOCK = 512
+MASS = 1 << 20
 
 
 def runs_for(recall: float, levels: int = LEVELS) -> int:
@@ -128,12 +131,11 @@ def _buckets(classes: DataFrame, runs: int, levels: int, limit: int) -> DataFram
 
 def _owned(n: np.ndarray, paths: list[np.ndarray], bucket: int, threshold: float, blocks: np.ndarray, cross: bool):
     """Which pairs of a group belong to its bucket and can reach the threshold by their sizes alone."""
-    ids = np.unique(np.concatenate(paths))
-    before = ids[ids < bucket]
+    ids, held = np.unique(np.concatenate(paths), return_counts=True)
+    before = ids[(ids < bucket) & (held > 1)]  # a bucket of one row alone has no pair here
     member = np.zeros((len(n), len(before)), dtype=np.float32)
     for row, path in enumerate(paths):
-        earlier = path[path < bucket]
-        member[row, np.searchsorted(before, earlier)] = 1
+        member[row, np.searchsorted(before, path[np.isin(path, before)])] = 1
     wanted = (member @ member.T) == 0
     low = np.minimum.outer(n, n)
     wanted &= low >= threshold * np.maximum.outer(n, n) - 1e-9
@@ -292,6 +294,8 @@ def join(
     recall: float = 0.999,
     limit: int = LIMIT,
     levels: int = LEVELS,
+    block_sets: int = BLOCK,
+    block_mass: int = MASS,
 ) -> DataFrame:
     """One row per document: ``doc_id, text_key, group_key, class_id, copy_id, n_links``.
 
@@ -322,11 +326,19 @@ def join(
     )
     buckets = written(_buckets(classes, runs, levels, limit), "buckets")
     paths = buckets.groupBy("cls").agg(F.sort_array(F.collect_set("bucket")).alias("paths"))
-    blocks = F.ceil(F.col("size") / F.lit(limit)).cast("int")
-    block = F.pmod(F.xxhash64("cls", "bucket"), blocks).cast("int")
     narrow = classes.select("cls", "members", "first", "n")
+    # Small blocks copy each text into more pairs of blocks; large ones take more memory.
+    sizes = buckets.join(classes.select("cls", "n"), "cls").groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("mass")
+    )
+    parts = F.greatest(F.ceil(F.col("sets") / F.lit(block_sets)), F.ceil(F.col("mass") / F.lit(block_mass)))
+    # No more blocks than sets.
+    blocks = F.least(parts, F.col("sets")).cast("int")
+    block = F.pmod(F.xxhash64("cls", "bucket"), F.col("blocks")).cast("int")
     dealt = (
-        buckets.select("bucket", "cls", blocks.alias("blocks"), block.alias("block"))
+        buckets.select("bucket", "cls")
+        .join(sizes.select("bucket", blocks.alias("blocks")), "bucket")
+        .select("bucket", "cls", "blocks", block.alias("block"))
         .select(
             "bucket", "cls", "block",
             F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: o)).alias("other"),
