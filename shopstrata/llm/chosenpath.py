@@ -7,9 +7,10 @@ Documents with equal sets form a class, and the join runs over the classes:
    level lies below 1 / (threshold * size): 1 / threshold of them on average. Two sets that
    share most shingles sample the same ones.
 2. A sampled shingle is a bucket. Buckets of at most ``limit`` sets are compared by brute
-   force; larger ones are split again on the shingles sampled at the next level. A bucket
-   that still is too large at the last level is compared in pairs of blocks, which hold
-   at most about ``BLOCK`` sets and ``MASS`` shingles, whichever is reached first.
+   force; larger ones are split again on the shingles sampled at the next level, but only
+   where that at least halves the comparisons: sets that resemble each other would meet again
+   in every part. Large buckets that are not split, and those of the last level, are compared
+   in pairs of blocks, which hold at most about ``BLOCK`` sets and ``MASS`` shingles.
 3. Each pair belongs to the first bucket that both sets are in, so it is compared
    once, and no list of pairs is ever made: a task returns per set its number
    of links and one edge to the smallest set of its local group.
@@ -110,16 +111,27 @@ def _buckets(classes: DataFrame, runs: int, levels: int, limit: int) -> DataFram
             break
         finals.append(sized.where(F.col("size") <= limit))
         # Only sets in large buckets go on, and of those only the tokens of the next level.
+        large = sized.where(F.col("size") > limit)
         tokens = sampled.select(F.col("cls").alias("_cls"), "sampled")
-        entries = (
-            sized.where(F.col("size") > limit)
-            .join(tokens, F.col("cls") == F.col("_cls"))
-            .select("cls", "run", "bucket", F.explode(level_tokens(F.col("run"), level + 1)).alias("token"))
-            .select("cls", "run", F.xxhash64("bucket", "token").alias("bucket"))
+        parts = written(
+            large.join(tokens, F.col("cls") == F.col("_cls"))
+            .select("cls", "run", "bucket", "size", F.explode(level_tokens(F.col("run"), level + 1)).alias("token"))
+            .select("cls", "run", F.col("bucket").alias("whole"), "size", F.xxhash64("bucket", "token").alias("bucket")),
+            f"parts-{level}",
         )
+        # One row a large bucket: those whose parts take more than half of its comparisons stay whole.
+        part = parts.groupBy("whole", "size", "bucket").agg(F.count(F.lit(1)).cast("double").alias("sets"))
+        whole = written(
+            part.groupBy("whole", "size").agg(F.sum(F.col("sets") * F.col("sets")).alias("work"))
+            .where(F.col("work") > F.col("size").cast("double") * F.col("size") / 2).select("whole"),
+            f"whole-{level}",
+        )
+        finals.append(large.join(whole.withColumnRenamed("whole", "bucket"), "bucket", "left_semi"))
+        entries = parts.join(whole, "whole", "left_anti").select("cls", "run", "bucket")
     union = finals[0]
     for more in finals[1:]:
         union = union.unionByName(more)
+    union = union.select("bucket", "size", "cls")
     # Buckets of exactly the same sets are compared once.
     signature = union.groupBy("bucket").agg(
         F.first("size").alias("size"), F.sum(F.xxhash64("cls").cast("decimal(20,0)")).alias("sum"),
