@@ -39,7 +39,7 @@ from shopstrata.llm.wordhash import BLANK_WORDS, mix, shingles, words
 
 LIMIT = 256
 LEVELS = 3
-BLOCK = 512
+BLOCK = 1024
 MASS = 1 << 20
 
 
@@ -141,8 +141,12 @@ def _buckets(classes: DataFrame, runs: int, levels: int, limit: int) -> DataFram
     return union.join(kept, "bucket").select("bucket", "size", "cls")
 
 
-def _owned(n: np.ndarray, paths: list[np.ndarray], bucket: int, threshold: float, blocks: np.ndarray, cross: bool):
-    """Which pairs of a group belong to its bucket and can reach the threshold by their sizes alone."""
+def _owned(n: np.ndarray, paths: list[np.ndarray], bucket: int, threshold: float, blocks: np.ndarray, left: int, right: int):
+    """Which pairs of a group belong to its bucket and can reach the threshold by their sizes alone.
+
+    The pairs within block k belong to the group of blocks k - 1 and k, those within block 0 to the
+    group of 0 and 1, so that a bucket of several blocks needs no groups of single blocks.
+    """
     ids, held = np.unique(np.concatenate(paths), return_counts=True)
     before = ids[(ids < bucket) & (held > 1)]  # a bucket of one row alone has no pair here
     member = np.zeros((len(n), len(before)), dtype=np.float32)
@@ -151,8 +155,9 @@ def _owned(n: np.ndarray, paths: list[np.ndarray], bucket: int, threshold: float
     wanted = (member @ member.T) == 0
     low = np.minimum.outer(n, n)
     wanted &= low >= threshold * np.maximum.outer(n, n) - 1e-9
-    if cross:
-        wanted &= blocks[:, None] != blocks[None, :]
+    if left != right:
+        within = (blocks == right) | (blocks == 0) if right == left + 1 else np.zeros(len(blocks), bool)
+        wanted &= (blocks[:, None] != blocks[None, :]) | within[:, None]
     np.fill_diagonal(wanted, False)
     return wanted
 
@@ -178,7 +183,7 @@ def _distinct(group: dict[str, list]) -> dict[str, list]:
 def _pairs_of(group: dict[str, list], threshold: float) -> np.ndarray:
     return _owned(
         np.array(group["n"], dtype=np.float64), [np.array(p, dtype=np.int64) for p in group["paths"]],
-        group["bucket"][0], threshold, np.array(group["block"]), group["left"][0] != group["right"][0],
+        group["bucket"][0], threshold, np.array(group["block"]), group["left"][0], group["right"][0],
     )
 
 
@@ -353,7 +358,9 @@ def join(
         .select("bucket", "cls", "blocks", block.alias("block"))
         .select(
             "bucket", "cls", "block",
-            F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: o)).alias("other"),
+            F.explode(
+                F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: (F.col("blocks") == 1) | (o != F.col("block")))
+            ).alias("other"),
         )
         .select(
             "bucket", "cls", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")

@@ -60,7 +60,7 @@ def test_chosen_paths(docs):
     assert chosenpath.join(docs.limit(0)).isEmpty()
 
 
-@pytest.mark.parametrize("blocks", [{"block_sets": 8}, {"block_mass": 200}])
+@pytest.mark.parametrize("blocks", [{"block_sets": 8}, {"block_sets": 20}, {"block_mass": 200}])
 def test_large_groups_are_compared_in_blocks(spark, blocks):
     rows = [(i, " ".join([*BASE, f"end{i}"])) for i in range(40)]
     got = chosenpath.join(spark.createDataFrame(rows, "doc_id long, text string"), limit=8, **blocks).collect()
