@@ -522,10 +522,13 @@ QUERIES = {
     "top_seller_per_order": "SELECT order_id, seller_id AS top_seller_id FROM best_seller",
     "top_category_per_order": "SELECT order_id, category AS top_category FROM best_category",
     "json_items_roundtrip": f"""
-        SELECT order_id, count(*) AS items, CAST(sum(quantity) AS BIGINT) AS quantity,
+        SELECT order_id, position, count(*) AS items, CAST(sum(quantity) AS BIGINT) AS quantity,
                {_exact(_r('unit_price * quantity', 2))} AS gross_total,
                {_exact(_r(_r('unit_price * (1 - discount_pct / 100)', 2) + ' * quantity', 2))} AS net_total
-        FROM line_documents GROUP BY order_id""",
+        FROM (SELECT order_id, unit_price, discount_pct, CAST(place AS INTEGER) AS position,
+                     least(10, CAST(quantity AS INTEGER) - 10 * place) AS quantity
+              FROM (SELECT *, unnest(range(0, CAST(ceil(quantity / 10.0) AS BIGINT))) AS place FROM line_documents))
+        GROUP BY order_id, position""",
     "reconcile_orders": f"""
         SELECT order_id,
                abs(CAST(discount_total AS DECIMAL(28,8)) - (CAST(gross_total AS DECIMAL(28,8))

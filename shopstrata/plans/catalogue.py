@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata import fixed_values as fixed
@@ -341,19 +341,20 @@ def top_category_per_order(t: SampleTables) -> DataFrame:
 
 @_register
 def json_items_roundtrip(t: SampleTables) -> DataFrame:
-    """Every line as a JSON document, parsed back, priced and summed per order."""
+    """Every line as a JSON array of items of at most ten units, parsed back, priced and summed per order and place."""
     item = t.read("lineitem")
-    document = F.to_json(
-        F.array(
-            F.struct(
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_suppkey").alias("seller_id"),
-                round_half_up(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"),
-                F.col("l_quantity").cast("int").alias("quantity"),
-                (F.col("l_discount") * 100).cast("decimal(5,1)").alias("discount_pct"),
-            )
+    units = F.col("l_quantity").cast("int")
+
+    def packed(at: Column) -> Column:
+        return F.struct(
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_suppkey").alias("seller_id"),
+            round_half_up(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"),
+            F.least(F.lit(10), units - at * 10).alias("quantity"),
+            (F.col("l_discount") * 100).cast("decimal(5,1)").alias("discount_pct"),
         )
-    )
+
+    document = F.to_json(F.transform(F.sequence(F.lit(0), ((units - 1) / 10).cast("int")), packed))
     documents = item.select(
         F.col("l_orderkey").cast("string").alias("order_id"), document.alias("products_json")
     )
@@ -361,7 +362,7 @@ def json_items_roundtrip(t: SampleTables) -> DataFrame:
     priced = parsed.withColumns(
         line_ops.line_amounts(F.col("unit_price"), F.col("quantity"), F.col("discount_pct"))
     )
-    return priced.groupBy("order_id").agg(
+    return priced.groupBy("order_id", "position").agg(
         F.count(F.lit(1)).alias("items"),
         F.sum("quantity").alias("quantity"),
         exact_sum(F.col("line_gross_total")).alias("gross_total"),
