@@ -15,6 +15,9 @@ _RATES = (
     " time_next_update_utc STRING, time_last_update_unix BIGINT"
 )
 
+MALFORMED = "malformed"
+FAILED = "failed answer"
+
 # feed column -> field of the "current" object
 _CURRENT_DOUBLES = {
     "temperature_c": "temperature_2m",
@@ -72,11 +75,20 @@ def flatten_rates(
     )
 
 
+def refused_rates(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """The rates documents that give no rows because they failed or cannot be read, with a ``reason``."""
+    document = F.from_json(payload, _RATES)
+    result = document["result"]
+    reason = F.when(result.isNull(), F.lit(MALFORMED)).when(result != "success", F.lit(FAILED))
+    reason = reason.when(document["conversion_rates"].isNull(), F.lit(MALFORMED))
+    return documents.withColumn("reason", reason).where("reason IS NOT NULL")
+
+
 _WEATHER = (
     "ARRAY<STRUCT<current: STRUCT<time: STRING, "
     + ", ".join(f"{field}: DOUBLE" for field in _CURRENT_DOUBLES.values())
     # Read as VARIANT, an absent field is NULL while a JSON null is a value.
-    + ", weather_code: VARIANT, is_day: VARIANT>, timezone: VARIANT>>"
+    + ", weather_code: VARIANT, is_day: VARIANT>, timezone: VARIANT, error: BOOLEAN>>"
 )
 
 
@@ -94,10 +106,13 @@ def flatten_weather(
 
     A lone object counts as a list of one. Absent fields get their defaults;
     a field that is there but null stays null (``is_day`` then means night).
+    An error object gives no row; see ``refused_weather``.
     """
     carried = [c for c in documents.columns if c != payload]
     answers = F.posexplode(F.from_json(payload, _WEATHER))
-    each = documents.select(*carried, answers.alias("position", "_answer"))
+    each = documents.select(*carried, answers.alias("position", "_answer")).where(
+        ~F.coalesce(F.col("_answer.error"), F.lit(False))
+    )
     current, zone = F.col("_answer.current"), F.col("_answer.timezone")
     code, day = current["weather_code"], current["is_day"]
     lit_day = F.coalesce(F.try_variant_get(day, "$", "int") != 0, F.lit(False))
@@ -114,3 +129,13 @@ def flatten_weather(
     )
     placed = rows.join(F.broadcast(city_list), "position", "inner").drop("position")
     return decode(placed, codes, "weather_code", "weather_description", fixed.UNKNOWN_WEATHER)
+
+
+def refused_weather(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """The weather answers that cannot be read, or hold an error object, with a ``reason``."""
+    answers = F.from_json(payload, _WEATHER)
+    empty = answers.isNull() | (F.size(answers) == 0)
+    reason = F.when(empty, F.lit(MALFORMED)).when(
+        F.exists(answers, lambda a: F.coalesce(a["error"], F.lit(False))), F.lit(FAILED)
+    )
+    return documents.withColumn("reason", reason).where("reason IS NOT NULL")

@@ -61,3 +61,17 @@ def test_weather_lone_object_surplus_objects_and_junk(spark):
 def test_code_table_is_complete(spark):
     assert payloads.weather_codes(spark).count() == 21
     assert payloads.cities(spark).where("city = 'Frankfurt' and position = 9").count() == 1
+
+
+def test_unreadable_and_failed_payloads_are_refused(spark):
+    rates = ['{"result":"success","conversion_rates":{"EUR":0.9}}', '{"result":"success","conversion_ra', "junk", '{"result":"error"}', None]
+    frame = spark.createDataFrame(list(enumerate(rates)), "n int, payload string")
+    got = {r["n"]: r["reason"] for r in payloads.refused_rates(frame).collect()}
+    assert got == {1: "malformed", 2: "malformed", 3: "failed answer", 4: "malformed"}
+
+    weather = ['[{"current":{"time":"2024-01-01T00:00"}}]', '[{"current":{"ti', "junk", '{"error":true}', None]
+    frame = spark.createDataFrame(list(enumerate(weather)), "n int, payload string")
+    got = {r["n"]: r["reason"] for r in payloads.refused_weather(frame).collect()}
+    assert got == {1: "malformed", 2: "malformed", 3: "failed answer", 4: "malformed"}
+    rows = payloads.flatten_weather(frame, payloads.cities(spark), payloads.weather_codes(spark))
+    assert [r["n"] for r in rows.collect()] == [0]
