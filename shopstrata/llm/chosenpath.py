@@ -46,10 +46,10 @@ MASS = 1 << 20
 def runs_for(recall: float, levels: int = LEVELS) -> int:
     """Runs after which a pair at the threshold is missed with a chance of at most 1 - ``recall``.
 
-    Such a pair samples a common shingle with a chance of 1 - 1/e a level. All but the pairs in
-    buckets too large for all earlier levels need one level only; those get half of ``levels`` - 1 more.
+    Such a pair samples a common shingle with a chance of 1 - 1/e a level. A level's sample is the same in
+    every bucket of a run, so a pair whose buckets are all split needs a common one at each level.
     """
-    hit = (1 - math.exp(-1)) ** (1 + (levels - 1) / 2)
+    hit = (1 - math.exp(-1)) ** levels
     return math.ceil(math.log(1 - recall) / math.log(1 - hit))
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import math
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +69,23 @@ def test_large_groups_are_compared_in_blocks(spark, blocks):
     assert {(r["class_id"], r["n_links"]) for r in got} == {(0, 39)}
 
 
+@pytest.mark.parametrize("levels", [1, 2, 3, 4])
+def test_the_runs_keep_the_recall_where_every_level_is_needed(levels):
+    assert (1 - (1 - math.exp(-1)) ** levels) ** chosenpath.runs_for(0.999, levels) <= 0.001
+
+
+def test_recall_where_all_shingles_are_frequent(spark):
+    random = Random(3)
+    lines = [" ".join(f"l{k}w{i}" for i in range(14)) for k in range(16)]
+    texts = sorted({" ".join(lines[k] for k in sorted(random.sample(range(16), 13))) for _ in range(160)})
+    sets = [set(zip(*[t.split()[i:] for i in range(5)])) for t in texts]
+    near = [sum(len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets) - 1 for a in sets]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["n_links"] for r in chosenpath.join(docs, limit=2).collect()}
+    assert sum(near) > 400 and all(found[i] <= n for i, n in enumerate(near))
+    assert sum(found.values()) >= 0.999 * sum(near)
+
+
 def test_decontamination(docs, items):
     got = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, items).collect()}
     assert (got[8]["n_words"], got[8]["n_hit"], got[8]["n_items"], got[8]["contaminated"]) == (11, 10, 2, True)
