@@ -1,17 +1,24 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-The probability of a token is factored: P(token | history) = P(class | history) * P(token | class).
+The probability of a token is factored: P(token | history) = P(class | history) * P(token | class, history).
 The class part is a softmax over the sum of weight rows that the history's features hash
 to: the last word, the last two and three words, and the second and third last word alone
 (skips). The most frequent words and the end of the text are classes of their own; all
-other words fall into classes by their last two bytes. Within a class a token has its
-smoothed share of the class's training tokens, with one place for all unknown words, so
-that every probability is normalised.
+other words fall into classes by their last two bytes. The words of a class are the leaves of
+a binary tree, a Huffman tree over their counts, and each node of a word's path is a
+logistic choice by the same features (a hierarchical softmax). Every word of the head is a leaf;
+the other words of a class share ``tails`` leaves by their hash, and within such a leaf a word has its
+smoothed share of the leaf's training tokens, with one place for all unknown words, so
+that every probability is normalised. A node without weights splits by the counts alone.
+
+The number of weight rows and of the nodes' weights follows the counted distinct words, up to
+``max_rows`` and ``max_slots``, which bound the memory of a task; beyond that, features share weights.
 
 Training is distributed: in each round every task runs AdaGrad from the shared weights
 over its own documents, and the weight changes are averaged row by row, each task weighted
-by how often it saw the row. Every training document is used once. Averages are taken in a
-tree of groups, and the model has a fixed size (``rows`` * ``classes``), so it can be broadcast.
+by how often it saw the row. Every training document is used once. A task returns only the rows it
+saw, averages are taken by blocks of rows in a tree of groups, and the model has a bounded size
+(``max_rows`` * ``classes`` + ``max_slots``), so it can be broadcast.
 
 Counts of words grow with the corpus and are never broadcast whole. Only the ``head`` most
 frequent words are, a bound by parameter; a document's other words are joined with the table
@@ -19,14 +26,15 @@ of counts. Words are told apart by 64-bit hashes.
 
 Edge cases: null and empty text have one token, the end. A null id counts as the empty
 text when documents are held out. Rows that repeat id and text have equal scores. With no
-training document all words are unknown and the model is uniform over its classes.
+training document all words are unknown and the model is uniform over its classes and their leaves.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -47,7 +55,11 @@ FEATURES = 5
 
 @dataclass(frozen=True)
 class Shape:
-    rows: int = 1 << 15
+    rows: int = 1 << 15  # at least; four a distinct word
+    max_rows: int = 1 << 16
+    slots: int = 1 << 18  # weights of the tree nodes, at least; 32 a distinct word
+    max_slots: int = 1 << 22
+    tails: int = 16  # leaves a class for the words outside the head
     classes: int = 32
     singles: int = 15  # words that are classes of their own, besides the end
     head: int = 1 << 18  # words whose counts are broadcast
@@ -55,6 +67,16 @@ class Shape:
     rate: float = 0.15
     batch: int = 8192  # tokens an update
 
+    def grown(self, distinct: int) -> Shape:
+        """The shape with rows and slots for so many distinct words."""
+
+        def size(least: int, wanted: int, most: int) -> int:
+            return max(least, min(most, 1 << max(wanted - 1, 0).bit_length()))
+
+        return replace(
+            self, rows=size(self.rows, 4 * distinct, self.max_rows), slots=size(self.slots, 32 * distinct, self.max_slots)
+        )
+
 
 @dataclass(frozen=True)
 class Tokens:
@@ -126,16 +148,67 @@ def _count(flush: int = 1 << 20):
     return run
 
 
+@dataclass(frozen=True)
+class Trees:
+    """A binary tree a class: the path of leaf i is ``nodes`` and ``ones`` from ``start[i]`` to ``start[i + 1]``."""
+
+    start: np.ndarray
+    nodes: np.ndarray
+    ones: np.ndarray  # whether the path takes the first side of the node
+    offset: np.ndarray  # log odds of each node's first side by the counts
+
+    def steps(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each node on the paths of ``leaves``: which leaf of the list, the node, and the side."""
+        first = self.start[leaves]
+        many = self.start[leaves + 1] - first
+        owner = np.repeat(np.arange(len(leaves)), many)
+        place = np.arange(len(owner)) + np.repeat(first - (np.cumsum(many) - many), many)
+        return owner, self.nodes[place], self.ones[place]
+
+
+def grow(weights: np.ndarray, group: np.ndarray) -> Trees:
+    """A Huffman tree over the leaves of each group."""
+    count = len(weights)
+    total = list(weights)
+    parent = np.full(2 * count, -1, dtype=np.int64)
+    side = np.zeros(2 * count, dtype=bool)
+    offset: list[float] = []
+    order = np.argsort(group, kind="stable")
+    for members in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if count else []:
+        heap = [(total[i], i) for i in members.tolist()]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            made = len(total)
+            parent[i] = parent[j] = made
+            side[j] = True
+            offset.append(math.log(b / a))
+            total.append(a + b)
+            heapq.heappush(heap, (a + b, made))
+    leaf, at, kept = np.arange(count), np.arange(count), []
+    while len(leaf):
+        leaf, at = leaf[parent[at] >= 0], at[parent[at] >= 0]
+        kept.append((leaf, parent[at] - count, side[at]))
+        at = parent[at]
+    owner, nodes, ones = (np.concatenate([k[n] for k in kept]) if kept else np.zeros(0, np.int64) for n in range(3))
+    order = np.argsort(owner, kind="stable")
+    start = np.append(0, np.cumsum(np.bincount(owner, minlength=count))).astype(np.int64)
+    return Trees(start, nodes[order].astype(np.int32), ones[order].astype(np.float32), np.array(offset, dtype=np.float32))
+
+
 @dataclass(frozen=True)
 class Words:
-    """What is known of the words: totals, the head with its counts, and the mass of each class."""
+    """What is known of the words: totals, the head with its counts, and the tree of each class."""
 
     total: int
     distinct: int
     head: np.ndarray  # sorted hashes
     head_n: np.ndarray
     single: np.ndarray  # class of a head word that is one, else -1
-    mass: np.ndarray  # smoothed tokens per suffix class
+    leaf: np.ndarray  # leaf of a head word, -1 where it is a class
+    tail_leaf: np.ndarray  # leaf per class and tail, -1 for classes of one word
+    tail_mass: np.ndarray  # smoothed tokens per class and tail
+    trees: Trees
     shape: Shape
 
     @property
@@ -155,6 +228,17 @@ class Words:
             found = np.where(own >= 0, own, found)
         return np.where(suffix == END_SUFFIX, 0, found)
 
+    def leaf_of(self, keys: np.ndarray, at: np.ndarray, inside: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The leaf of each token, -1 where its class has only one word."""
+        found = self.tail_leaf[classes, tail_of(keys, self.shape)]
+        if len(self.head):
+            found = np.where(inside, self.leaf[at], found)
+        return np.where(classes > self.shape.singles, found, -1)
+
+
+def tail_of(keys: np.ndarray, shape: Shape) -> np.ndarray:
+    return ((keys >> np.uint64(32)) % np.uint64(shape.tails)).astype(np.int64)
+
 
 def suffix_class(suffix: np.ndarray, shape: Shape) -> np.ndarray:
     first = 1 + shape.singles
@@ -169,6 +253,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 def describe(counts: DataFrame, shape: Shape) -> Words:
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    shape = shape.grown(int(totals[1]))
     # Some hundred logarithmic bins tell down to which count the head can go.
     size = F.floor(8 * F.log2("n"))
     bins = sorted(((r["bin"], r["words"]) for r in counts.groupBy(size.alias("bin")).agg(
@@ -191,24 +276,32 @@ def describe(counts: DataFrame, shape: Shape) -> Words:
     ranked = ranked[suffix[ranked] != END_SUFFIX][: shape.singles]
     single[ranked] = 1 + np.arange(len(ranked))
 
-    mass = np.zeros(shape.classes)
-    kinds = np.zeros(shape.classes)
-    by_suffix = counts.groupBy("suffix").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
-    codes = np.asarray(by_suffix["suffix"]).astype(np.int64)
-    place = np.where(codes == END_SUFFIX, 0, suffix_class(codes, shape))
-    np.add.at(mass, place, np.asarray(by_suffix["n"]).astype(float))
-    np.add.at(kinds, place, np.asarray(by_suffix["v"]).astype(float))
-    for i in ranked:
-        mass[suffix_class(suffix[i : i + 1], shape)[0]] -= n[i]
-        kinds[suffix_class(suffix[i : i + 1], shape)[0]] -= 1
-    return Words(int(totals[0]), int(totals[1]), keys, n, single, mass + SMOOTHING * (kinds + 1), shape)
+    # The words outside the head, at most tails * 2 ** 16 rows.
+    outside = counts if cut is None else counts.where(size < cut)
+    tail = F.pmod(F.shiftrightunsigned("word", 32), F.lit(shape.tails)).alias("tail")
+    by_tail = outside.where(F.col("suffix") != END_SUFFIX).groupBy("suffix", tail).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")
+    ).toArrow()
+    mass = np.full((shape.classes, shape.tails), SMOOTHING)
+    place = suffix_class(np.asarray(by_tail["suffix"]).astype(np.int64), shape), np.asarray(by_tail["tail"]).astype(np.int64)
+    np.add.at(mass, place, np.asarray(by_tail["n"]).astype(float) + SMOOTHING * np.asarray(by_tail["v"]).astype(float))
+
+    worded = np.flatnonzero((single < 0) & (suffix != END_SUFFIX))
+    leaf = np.full(len(keys), -1, dtype=np.int64)
+    leaf[worded] = np.arange(len(worded))
+    first = 1 + shape.singles
+    tail_leaf = np.full((shape.classes, shape.tails), -1, dtype=np.int64)
+    tail_leaf[first:] = len(worded) + np.arange((shape.classes - first) * shape.tails).reshape(-1, shape.tails)
+    group = np.append(suffix_class(suffix[worded], shape), np.repeat(np.arange(first, shape.classes), shape.tails))
+    trees = grow(np.append(n[worded] + SMOOTHING, mass[first:].ravel()), group)
+    return Words(int(totals[0]), int(totals[1]), keys, n, single, leaf, tail_leaf, mass, trees, shape)
 
 
 # --- the model -------------------------------------------------------------------
 
 
-def features(found: Tokens, shape: Shape) -> np.ndarray:
-    """Weight rows of each token's history, one column per feature."""
+def features(found: Tokens, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Weight rows of each token's history, one column per feature, and 32 further bits of each feature."""
 
     def earlier(n: int) -> np.ndarray:
         keys = np.concatenate([np.full(n, START), found.keys])[: len(found.keys)]
@@ -219,9 +312,19 @@ def features(found: Tokens, shape: Shape) -> np.ndarray:
     with np.errstate(over="ignore"):
         two = w1 * np.uint64(3) + mix(w2)
         raw = [w1, two, mix(two) + w3, w2, w3]
-        return np.stack(
-            [mix(x + np.uint64(0x1000 + k)) & np.uint64(shape.rows - 1) for k, x in enumerate(raw)], axis=1
-        ).astype(np.uint16 if shape.rows <= 1 << 16 else np.uint32)
+        mixed = np.stack([mix(x + np.uint64(0x1000 + k)) for k, x in enumerate(raw)], axis=1)
+        rows = (mixed & np.uint64(shape.rows - 1)).astype(np.uint16 if shape.rows <= 1 << 16 else np.uint32)
+        return rows, (mixed >> np.uint64(32)).astype(np.uint32)
+
+
+def slots_of(marks: np.ndarray, nodes: np.ndarray, shape: Shape) -> np.ndarray:
+    """Where the weights of features and a tree node are: one row per node, one column per feature."""
+    mixed = marks ^ (nodes.astype(np.uint32) * np.uint32(0x9E3779B1))[:, None]
+    mixed *= np.uint32(0x85EBCA6B)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0xC2B2AE35)
+    mixed >>= np.uint32(33 - shape.slots.bit_length())
+    return mixed
 
 
 def logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -232,16 +335,47 @@ def logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarra
     return np.clip(total, -60, 60, out=total)  # so that exp() needs no shift
 
 
+def node_logits(inner: np.ndarray, trees: Trees, slots: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    total = inner[slots].sum(axis=1)
+    total += trees.offset[nodes]
+    return np.clip(total, -60, 60, out=total)
+
+
 class Learner:
-    """AdaGrad over the documents of one task, with one step size a weight row."""
+    """AdaGrad over the documents of one task, with one step size a weight row or node weight."""
 
-    def __init__(self, weights: np.ndarray, bias: np.ndarray, shape: Shape):
+    def __init__(self, weights: np.ndarray, bias: np.ndarray, inner: np.ndarray, trees: Trees, shape: Shape):
         self.weights, self.bias, self.shape = weights.copy(), bias.copy(), shape
         self.squares = np.full(len(weights), 0.1, dtype=np.float32)
         self.bias_square = 0.1
         self.seen = np.zeros(len(weights), dtype=np.float32)
-
-    def update(self, rows: np.ndarray, classes: np.ndarray) -> None:
+        self.inner, self.trees = inner.copy(), trees
+        self.inner_squares = np.full(len(inner), 0.1, dtype=np.float32)
+        self.inner_seen = np.zeros(len(inner), dtype=np.float32)
+        self._sum = np.zeros(len(inner), dtype=np.float32)
+
+    def update(self, rows: np.ndarray, marks: np.ndarray, classes: np.ndarray, leaves: np.ndarray) -> None:
+        self._update_classes(rows, classes)
+        self._update_words(marks, leaves)
+
+    def _update_words(self, marks: np.ndarray, leaves: np.ndarray) -> None:
+        inside = leaves >= 0
+        owner, nodes, ones = self.trees.steps(leaves[inside])
+        if not len(owner):
+            return
+        slots = slots_of(marks[inside][owner], nodes, self.shape)
+        error = 1 / (1 + np.exp(-node_logits(self.inner, self.trees, slots, nodes))) - ones
+        slots = slots.ravel()
+        np.add.at(self._sum, slots, np.repeat(error, marks.shape[1]))
+        # A slot that comes several times gets the same value each time.
+        gradient = self._sum[slots]
+        squares = self.inner_squares[slots] + gradient * gradient
+        self.inner[slots] = self.inner[slots] - np.float32(self.shape.rate) * gradient / np.sqrt(squares)
+        self.inner_squares[slots] = squares
+        self.inner_seen[slots] = self.inner_seen[slots] + 1
+        self._sum[slots] = 0
+
+    def _update_classes(self, rows: np.ndarray, classes: np.ndarray) -> None:
         error = np.exp(logits(self.weights, self.bias, rows))
         error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(classes)), classes] -= 1
@@ -276,77 +410,118 @@ class Learner:
 
 
 _BLOCKS = 64
-_CHANGES = "block int, part int, change binary"
+_CHANGES = "block int, part int, ids binary, change binary, seen binary"
+
+
+def _packed(change: np.ndarray, seen: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """The rows that were seen, in 16 bits a number: which ones, their changes, and how often they were seen."""
+    rows = seen > 0
+    often = seen[rows].astype(np.float32).view(np.uint32) >> np.uint32(16)
+    return np.packbits(rows).tobytes(), change[rows].astype(np.float16).tobytes(), often.astype(np.uint16).tobytes()
+
+
+def _unpacked(ids: bytes, change: bytes, seen: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = np.flatnonzero(np.unpackbits(np.frombuffer(ids, dtype=np.uint8)))
+    often = (np.frombuffer(seen, dtype=np.uint16).astype(np.uint32) << np.uint32(16)).view(np.float32)
+    width = len(change) // (2 * len(rows)) if len(rows) else 0
+    return rows, np.frombuffer(change, dtype=np.float16).astype(np.float32).reshape(len(rows), width), often
+
+
+def _blocks(change: np.ndarray, seen: np.ndarray, first_block: int, part: int) -> pa.RecordBatch:
+    packed = [_packed(c, n) for c, n in zip(np.array_split(change, _BLOCKS), np.array_split(seen, _BLOCKS))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(first_block, first_block + _BLOCKS), pa.int32()), pa.array([part] * _BLOCKS, pa.int32()),
+         *(pa.array(c, pa.binary()) for c in zip(*packed))],
+        names=["block", "part", "ids", "change", "seen"],
+    )
 
 
 def _train(shared, known, shape: Shape, fan: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
-        learner, vocabulary = Learner(weights, bias, shape), known.value
-        rows, classes, held, total = [], [], 0, 0
+        weights, bias, inner = shared.value
+        vocabulary = known.value
+        learner = Learner(weights, bias, inner, vocabulary.trees, shape)
+        waiting, held, total = [], 0, 0
         for _, found in in_portions(batches):
             at, inside = vocabulary.look_up(found.keys)
-            rows.append(features(found, shape))
-            classes.append(vocabulary.class_of(at, inside, found.suffix))
+            classes = vocabulary.class_of(at, inside, found.suffix)
+            waiting.append((*features(found, shape), classes, vocabulary.leaf_of(found.keys, at, inside, classes)))
             held += len(found.keys)
             while held >= shape.batch:
-                waiting_rows, waiting = np.concatenate(rows), np.concatenate(classes)
-                learner.update(waiting_rows[: shape.batch], waiting[: shape.batch])
-                rows, classes = [waiting_rows[shape.batch :]], [waiting[shape.batch :]]
+                columns = [np.concatenate(c) for c in zip(*waiting)]
+                learner.update(*[c[: shape.batch] for c in columns])
+                waiting = [tuple(c[shape.batch :] for c in columns)]
                 held -= shape.batch
                 total += shape.batch
         if held:
-            learner.update(np.concatenate(rows), np.concatenate(classes))
+            learner.update(*[np.concatenate(c) for c in zip(*waiting)])
             total += held
         if not total:
             return
-        # Changes times how often each row was seen; the bias is a row that every token sees.
-        table = np.concatenate(
-            [(learner.weights - weights) * learner.seen[:, None], ((learner.bias - bias) * total)[None, :]]
-        )
-        table = np.concatenate([table, np.append(learner.seen, np.float32(total))[:, None]], axis=1).astype(np.float32)
-        blocks = np.array_split(table, _BLOCKS)
+        # The bias is a row that every token sees.
         part = TaskContext.get().partitionId() % fan
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(_BLOCKS), pa.int32()), pa.array([part] * _BLOCKS, pa.int32()),
-             pa.array([b.tobytes() for b in blocks], pa.binary())],
-            names=["block", "part", "change"],
-        )
+        change = np.concatenate([learner.weights - weights, (learner.bias - bias)[None, :]])
+        yield _blocks(change, np.append(learner.seen, np.float32(total)), 0, part)
+        yield _blocks((learner.inner - inner)[:, None], learner.inner_seen, _BLOCKS, part)
 
     return run
 
 
-def _summed(frame: pd.DataFrame) -> pd.DataFrame:
-    total = np.frombuffer(frame["change"].iloc[0], dtype=np.float32).astype(np.float64)
-    for other in frame["change"].iloc[1:]:
-        total += np.frombuffer(other, dtype=np.float32)
-    first = frame.iloc[:1].copy()
-    first["change"] = [total.astype(np.float32).tobytes()]
-    return first
+def _block_rows(shape: Shape) -> list[int]:
+    """Rows of each block: first those of the classes' weights and the bias, then those of the nodes' weights."""
+    return [len(b) for size in (shape.rows + 1, shape.slots) for b in np.array_split(np.empty(size, np.int8), _BLOCKS)]
+
 
+def _averaged(shape: Shape):
+    sizes = _block_rows(shape)
 
-def train(texts: DataFrame, vocabulary: Words, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias after ``shape.rounds`` rounds over ``texts(text, fold)``, each using one fold of the documents."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        block = int(frame["block"].iloc[0])
+        total = np.zeros((sizes[block], shape.classes if block < _BLOCKS else 1))
+        often = np.zeros(sizes[block])
+        for packed in zip(frame["ids"], frame["change"], frame["seen"]):
+            rows, change, seen = _unpacked(*packed)
+            if len(rows):
+                total[rows] += change * seen[:, None]
+                often[rows] += seen
+        first = frame.iloc[:1].copy()
+        for name, value in zip(("ids", "change", "seen"), _packed(total / np.maximum(often, 1)[:, None], often)):
+            first[name] = [value]
+        return first
+
+    return run
+
+
+def train(texts: DataFrame, vocabulary: Words, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights, bias and node weights after ``shape.rounds`` rounds over ``texts(text, fold)``, each using one fold
+    of the documents."""
     context = texts.sparkSession.sparkContext
     weights = np.zeros((shape.rows, shape.classes), dtype=np.float32)
     bias = np.zeros(shape.classes, dtype=np.float32)
+    inner = np.zeros(shape.slots, dtype=np.float32)
     known = context.broadcast(vocabulary)
+    ends = np.cumsum(_block_rows(shape))
     for fold in range(shape.rounds):
-        shared = context.broadcast((weights, bias))
+        shared = context.broadcast((weights, bias, inner))
         mine = texts.where(F.col("fold") == fold).select("text")
         fan = max(1, math.isqrt(mine.rdd.getNumPartitions()))
         changes = mine.mapInArrow(_train(shared, known, shape, fan), _CHANGES)
-        parts = changes.groupBy("block", "part").applyInPandas(_summed, _CHANGES)
-        whole = parts.groupBy("block").applyInPandas(_summed, _CHANGES).orderBy("block").collect()
-        if not whole:
-            break
-        sizes = [len(b) for b in np.array_split(np.zeros(shape.rows + 1), _BLOCKS)]
-        table = np.concatenate(
-            [np.frombuffer(bytes(r["change"]), dtype=np.float32).reshape(sizes[r["block"]], -1) for r in whole]
-        )
-        mean = table[:, :-1] / np.maximum(table[:, -1:], 1)
-        weights, bias = weights + mean[:-1], bias + mean[-1]
-    return weights, bias
+        if fan > 1:
+            changes = changes.groupBy("block", "part").applyInPandas(_averaged(shape), _CHANGES)
+        whole = changes.groupBy("block").applyInPandas(_averaged(shape), _CHANGES)
+        table, slots = np.concatenate([weights, bias[None, :]]), inner.copy()
+        for r in whole.collect():
+            block = r["block"]
+            rows, change, _ = _unpacked(bytes(r["ids"]), bytes(r["change"]), bytes(r["seen"]))
+            if not len(rows):
+                continue
+            rows = rows + (ends[block - 1] if block else 0)
+            if block < _BLOCKS:
+                table[rows] += change
+            else:
+                slots[rows - ends[_BLOCKS - 1]] += change[:, 0]
+        weights, bias, inner = table[:-1], table[-1], slots
+    return weights, bias, inner
 
 
 # --- scores ------------------------------------------------------------------------
@@ -359,26 +534,32 @@ _ROWS = (
 
 def _score(shared, known, shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
+        weights, bias, inner = shared.value
         vocabulary = known.value
         for batch, found in in_portions(batches):
-            yield scored(batch, found, weights, bias, vocabulary)
+            yield scored(batch, found, weights, bias, inner, vocabulary)
 
-    def scored(batch, found, weights, bias, vocabulary) -> pa.RecordBatch:
+    def scored(batch, found, weights, bias, inner, vocabulary) -> pa.RecordBatch:
         at, inside = vocabulary.look_up(found.keys)
         classes = vocabulary.class_of(at, inside, found.suffix)
-        rows = features(found, shape)
+        leaves = vocabulary.leaf_of(found.keys, at, inside, classes)
+        rows, marks = features(found, shape)
         model = np.empty(len(classes))
         for i in range(0, len(classes), shape.batch):
             part = classes[i : i + shape.batch]
             sums = logits(weights, bias, rows[i : i + shape.batch])
             own = sums[np.arange(len(part)), part].astype(np.float64)
             model[i : i + shape.batch] = own - np.log(np.exp(sums, out=sums).sum(axis=1))
+            worded = np.flatnonzero(leaves[i : i + shape.batch] >= 0)
+            owner, nodes, ones = vocabulary.trees.steps(leaves[i + worded])
+            turns = node_logits(inner, vocabulary.trees, slots_of(marks[i + worded][owner], nodes, shape), nodes)
+            lost = np.logaddexp(0, np.where(ones > 0, -turns, turns))
+            model[i + worded] -= np.bincount(owner, lost, len(worded))
         model /= math.log(10)
         counts = np.zeros(len(classes))
         counts[inside] = np.log10(vocabulary.head_n[at[inside]] + SMOOTHING)
-        shared_class = classes > shape.singles
-        model[shared_class] += counts[shared_class] - np.log10(vocabulary.mass[classes[shared_class]])
+        tail = np.flatnonzero((leaves >= 0) & ~inside)
+        model[tail] -= np.log10(vocabulary.tail_mass[classes[tail], tail_of(found.keys[tail], shape)])
         base = counts - vocabulary.base_log
         text = np.repeat(np.arange(len(found.sizes)), found.sizes)
         many = len(found.sizes)
@@ -430,6 +611,7 @@ def score(
     training = texts.where(~F.col("held_out"))
     counts = count_words(training)
     vocabulary = describe(counts, shape)
+    shape = vocabulary.shape
     model = train(training, vocabulary, shape)
 
     shared, known = context.broadcast(model), context.broadcast(vocabulary)

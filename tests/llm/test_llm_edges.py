@@ -6,6 +6,7 @@ import io
 import math
 from random import Random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +122,56 @@ def test_language_model(docs):
     assert maxent.score(docs.limit(0)).isEmpty()
 
 
+def test_the_history_chooses_among_the_words_of_a_class(spark):
+    random = Random(5)
+    following = {f"a{i}zz": f"b{i}zz" for i in range(30)}
+    rows = []
+    for i in range(800):
+        firsts = random.choices(list(following), k=25)
+        rows.append((i, " ".join(f"{a} {following[a]}" for a in firsts)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # One class holds all words; half of them follow from the word before, the others are drawn from thirty.
+    held = maxent.score(docs, shape=maxent.Shape(classes=2, singles=0, head=1000)).where("held_out").collect()
+    mean = {k: sum(r[k] for r in held) / sum(r["n_tokens"] for r in held) for k in ("score", "base_score")}
+    assert len(held) > 40 and mean["score"] > mean["base_score"] + 0.5
+
+
+@pytest.mark.parametrize("head", [0, 3, 1000])
+def test_token_probabilities_add_up_to_one(spark, head):
+    texts = ["a bb ccc dd a bb", "ccc ee a dd ff gg", "bb a hh ii jj a"] * 5
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").withColumn("fold", F.lit(0))
+    shape = maxent.Shape(rows=1 << 10, slots=1 << 10, classes=6, singles=2, tails=2, head=head, rounds=1)
+    counts = maxent.count_words(docs)
+    known = maxent.describe(counts, shape)
+    trees = known.trees
+    inner = np.random.default_rng(1).normal(size=known.shape.slots).astype(np.float32)
+    for first in (1 + shape.singles, shape.classes - 1):
+        words = {k: n for k, n, c in _words_of(counts, known) if c == first}
+        inside = {k: known.leaf_of(*[np.array([x]) for x in (k, *_place(known, k))], np.array([first]))[0] for k in words}
+        leaves = np.unique(np.append(list(inside.values()), known.tail_leaf[first]).astype(np.int64))
+        owner, nodes, ones = trees.steps(leaves)
+        marks = np.full((len(owner), 5), 77, dtype=np.uint32)
+        turns = maxent.node_logits(inner, trees, maxent.slots_of(marks, nodes, known.shape), nodes)
+        log = -np.bincount(owner, np.logaddexp(0, np.where(ones > 0, -turns, turns)), len(leaves))
+        assert np.exp(log).sum() == pytest.approx(1, abs=1e-5)
+        # A tail leaf's words and its place for unknown ones fill its mass.
+        for t, leaf in enumerate(known.tail_leaf[first]):
+            mass = sum(n + 0.1 for k, n in words.items() if inside[k] == leaf) + 0.1
+            assert mass == pytest.approx(known.tail_mass[first, t])
+
+
+def _place(known, key):
+    at, inside = known.look_up(np.array([key], dtype=np.uint64))
+    return at[0], inside[0]
+
+
+def _words_of(counts, known):
+    for r in counts.collect():
+        key = np.int64(r["word"]).view(np.uint64)
+        at, inside = known.look_up(np.array([key]))
+        yield key, r["n"], known.class_of(at, inside, np.array([r["suffix"]]))[0]
+
+
 def test_mixing(docs, labels):
     rows = mixing.mix(docs, labels).collect()
     assert len(rows) == docs.count() and all(r["rate"] >= 0 for r in rows)
