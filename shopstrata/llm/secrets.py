@@ -2,7 +2,7 @@
 
 Candidates are runs of sixteen or more key characters. Each is described by its length and
 kinds of characters, the transitions between them, the share of its letter triples that
-occur in ordinary words around (dictionary coverage), how much it looks like a path, and the
+are common in the words of all documents (dictionary coverage), how much it looks like a path, and the
 words and signs next to it. A random forest trained on labelled findings scores every
 candidate; those at ``threshold`` or more are secrets.
 
@@ -29,6 +29,7 @@ from shopstrata.llm.scratch import written
 _KEY = "A-Za-z0-9+/_-"
 CANDIDATE = rf"(?:(?<![{_KEY}])|\G)[{_KEY}]{{16,}}+={{0,2}}+"
 CREDENTIAL = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private)"
+WORD = rf"(?<![{_KEY}])[A-Za-z]{{3,15}}+(?![A-Za-z0-9+/_])"  # longer ones are candidates
 MAX_TRAIN = 20_000
 FEATURES = [
     "length", "digits", "uppers", "others", "transitions", "distinct", "hex", "coverage", "slashes", "dots_after",
@@ -57,13 +58,24 @@ def _share(count: Column) -> Column:
     return count / F.char_length("hit")
 
 
-def describe(found: DataFrame, least_uses: int = 5) -> DataFrame:
-    """The candidates with their features."""
-    around = found.select(F.explode(F.regexp_extract_all(F.concat_ws(" ", "before", "after"), F.lit("[A-Za-z]{3,}"), F.lit(0))).alias("w"))
-    dictionary = (
-        around.select(F.explode(_triples(F.col("w"))).alias("triple"))
-        .groupBy("triple").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_uses).select("triple")
+def common_triples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``triple``: the letter triples that make up more than an even share of all triples in words.
+
+    A share of the whole, so that more documents of the same kind change nothing. Letters that touch digits or
+    other key characters and runs as long as candidates are no words.
+    """
+    words = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD), F.lit(0))
+    counts = written(
+        docs.select(F.explode(words).alias("w")).select(F.explode(_triples(F.col("w"))).alias("triple"))
+        .groupBy("triple").agg(F.count(F.lit(1)).alias("n")),
+        "triples",
     )
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counts.where(F.col("n") * F.lit(26**3) > F.lit(total)).select("triple")
+
+
+def describe(found: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The candidates with their features; ``dictionary(triple)`` has the common letter triples."""
     hits = found.select("hit").distinct().select("hit", F.explode(_triples(F.col("hit"))).alias("triple"))
     # At most 26 ** 3 triples of letters exist, so this side has a fixed bound.
     known = hits.join(F.broadcast(dictionary.withColumn("known", F.lit(1))), "triple", "left")
@@ -125,7 +137,8 @@ def scan(
     max_train: int = MAX_TRAIN,
 ) -> DataFrame:
     """One row per candidate: ``doc_id, text_key, start, end, hit, score, is_secret``."""
-    described = written(describe(written(candidates(docs, id_col, text_col), "candidates")), "findings")
+    found = written(candidates(docs, id_col, text_col), "candidates")
+    described = written(describe(found, common_triples(docs, text_col)), "findings")
     model = train(bootstrap_labels(described) if labelled is None else labelled, max_train)
     if model is None:
         scored = described.withColumn("score", F.coalesce(_rule(), F.lit(0.0)))

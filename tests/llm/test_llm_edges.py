@@ -105,6 +105,20 @@ def test_secrets(docs):
     assert secrets.scan(docs.limit(0)).isEmpty()
 
 
+def test_coverage_does_not_depend_on_the_number_of_rows(spark):
+    random = Random(9)
+    letters = "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=40))
+    prose = "the weather there was rather nice and another father gathered his leather and feathers together"
+    rows = [(i, f'{prose} secret = "{letters}" and see the/weather/there/gather') for i in range(3)]
+    coverage = []
+    for copies in (1, 20):
+        docs = spark.createDataFrame(rows * copies, "doc_id long, text string")
+        described = secrets.describe(secrets.candidates(docs), secrets.common_triples(docs))
+        coverage.append({(r["hit"], round(r["coverage"], 9)) for r in described.select("hit", "coverage").collect()})
+    assert coverage[0] == coverage[1]
+    assert dict(coverage[0])[letters] < 0.2 and dict(coverage[0])["the/weather/there/gather"] > 0.5
+
+
 def test_personal_data(spark, docs):
     got = {r["doc_id"]: r for r in pii.find(docs).collect()}
     assert (got[None]["n_email"], got[None]["n_ip"], got[4]["spans"]) == (1, 1, "")
