@@ -77,16 +77,40 @@ def prefix_sums(lengths: Column, block: int = 256) -> Column:
     )
 
 
-def spans(text: Column, pattern: str, around: int = 40) -> Column:
+def spans(text: Column, pattern: str, around: int = 40, least: int = 0) -> Column:
     """All matches as ``array<struct<start, end, hit, before, after>>``, in code points, end exclusive.
 
     The texts between the matches give the places: Java's split and find see the same matches.
-    ``before`` and ``after`` are up to ``around`` characters on either side, up to the next match.
+    ``before`` and ``after`` are up to ``around`` characters on either side, up to the next match. If
+    ``least`` is given, a match has at least so many characters, and the texts on either side go on through
+    other matches.
     """
+    reach = -(-around // least) if least else 0
+
+    def through(hits: Column, gaps: Column, sides: Callable[[Column, Column], Column]) -> Column:
+        if not least:
+            return sides(F.array().cast("array<string>"), F.array().cast("array<string>"))
+        # Each match with the gap before it, and with the gap after it.
+        ends = F.transform(hits, lambda h, i: F.right(F.concat(F.right(F.get(gaps, i), F.lit(around)), h), F.lit(around)))
+        heads = F.transform(hits, lambda h, i: F.left(F.concat(h, F.left(F.get(gaps, i + 1), F.lit(around))), F.lit(around)))
+        return let(ends, lambda e: let(heads, lambda b: sides(e, b)))
+
+    def before(ends: Column, gaps: Column, i: Column) -> Column:
+        gap = F.right(F.get(gaps, i), F.lit(around))
+        if not least:
+            return gap
+        first = F.greatest(i - reach, F.lit(0))
+        return F.right(F.concat(F.array_join(F.slice(ends, first + 1, i - first), ""), gap), F.lit(around))
+
+    def after(heads: Column, gaps: Column, i: Column) -> Column:
+        gap = F.left(F.get(gaps, i + 1), F.lit(around))
+        if not least:
+            return gap
+        return F.left(F.concat(gap, F.array_join(F.slice(heads, i + 2, F.lit(reach)), "")), F.lit(around))
 
     def placed(hits: Column, gaps: Column) -> Column:
         lengths = F.transform(hits, lambda h, i: F.char_length(F.get(gaps, i)) + F.char_length(h))
-        return let(
+        return through(hits, gaps, lambda ends, heads: let(
             prefix_sums(lengths),
             lambda sums: F.transform(
                 hits,
@@ -94,11 +118,11 @@ def spans(text: Column, pattern: str, around: int = 40) -> Column:
                     (F.get(sums, i) + F.char_length(F.get(gaps, i))).alias("start"),
                     (F.get(sums, i) + F.char_length(F.get(gaps, i)) + F.char_length(h)).alias("end"),
                     h.alias("hit"),
-                    F.right(F.get(gaps, i), F.lit(around)).alias("before"),
-                    F.left(F.get(gaps, i + 1), F.lit(around)).alias("after"),
+                    before(ends, gaps, i).alias("before"),
+                    after(heads, gaps, i).alias("after"),
                 ),
             ),
-        )
+        ))
 
     empty = F.array().cast(
         "array<struct<start:bigint,end:bigint,hit:string,before:string,after:string>>"

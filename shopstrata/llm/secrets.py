@@ -1,6 +1,8 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-Candidates are runs of sixteen or more key characters. Each is described by its length and
+Candidates are runs of sixteen or more key characters, and whatever of four or more characters is
+assigned to a name with a credential word, up to the next blank or quote; outside quotes also up to ``<``,
+``>``, ``,``, ``;`` or the next parameter. The context of a candidate goes on through other candidates. Each is described by its length and
 kinds of characters, the transitions between them, the share of its letter triples that
 are common in the words of all documents (dictionary coverage), how much it looks like a path, and the
 words and signs next to it. A random forest trained on labelled findings scores every
@@ -27,8 +29,16 @@ from shopstrata.llm.columns import ascii_lower, let, spans
 from shopstrata.llm.scratch import written
 
 _KEY = "A-Za-z0-9+/_-"
-CANDIDATE = rf"(?:(?<![{_KEY}])|\G)[{_KEY}]{{16,}}+={{0,2}}+"
-CREDENTIAL = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private)"
+_WORDS = "token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private"
+CREDENTIAL = rf"(?i)({_WORDS})"
+SHORTEST = 4
+# The assignment is looked for first: it is rare, and looking back for the name takes longer.
+_ASSIGNED = (
+    r"(?<=[=:]>?[ \t]{0,3}[\"']?)(?<=(?i:" + _WORDS + r")[A-Za-z0-9_.-]{0,24}[\"']?[ \t]{0,3}[=:]{1,2}>?[ \t]{0,3}[\"']?)"
+    rf"(?:(?<=[\"'])[^\s\"']{{{SHORTEST},}}+|(?<![\"'])(?:[^\s\"'<>,;&]|&(?![\w.-]+=)){{{SHORTEST},}}+)"
+)
+# One or two signs at the end are padding where no value follows.
+CANDIDATE = rf"{_ASSIGNED}|(?:(?<![{_KEY}])|\G)[{_KEY}]{{16,}}+(?:={{1,2}}+(?![={_KEY}]|[ \t]*+[\"']))?+"
 WORD = rf"(?<![{_KEY}])[A-Za-z]{{3,15}}+(?![A-Za-z0-9+/_])"  # longer ones are candidates
 MAX_TRAIN = 20_000
 FEATURES = [
@@ -42,7 +52,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col), F.lit(""))
     read = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"))
     return read.select(
-        "doc_id", F.xxhash64("_text").alias("text_key"), F.explode(spans(F.col("_text"), CANDIDATE)).alias("s")
+        "doc_id", F.xxhash64("_text").alias("text_key"), F.explode(spans(F.col("_text"), CANDIDATE, least=SHORTEST)).alias("s")
     ).select("doc_id", "text_key", "s.*")
 
 
@@ -97,7 +107,7 @@ def describe(found: DataFrame, dictionary: DataFrame) -> DataFrame:
         "slashes": F.regexp_count("hit", F.lit("/")).cast("double"),
         "dots_after": F.rlike("after", F.lit(r"^[./]\w")).cast("double"),
         "credential": F.rlike("before", F.lit(CREDENTIAL)).cast("double"),
-        "assigned": F.rlike("before", F.lit(r"[=:]\s*[\"']?$")).cast("double"),
+        "assigned": F.rlike("before", F.lit(r"[=:]>?\s*[\"']?$")).cast("double"),
         "quoted": F.rlike("before", F.lit("[\"']$")).cast("double"),
         "words_before": F.regexp_count("before", F.lit("[A-Za-z]{2,}")).cast("double"),
         "prefixed": F.rlike("hit", F.lit("^(AKIA|gh[pousr]_|sk[-_]|xox[abp]-|eyJ)")).cast("double"),
@@ -152,14 +162,28 @@ def scan(
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
-    """The documents with their own columns, every secret in the text replaced by ``mask``."""
+    """The documents with their own columns, every secret in the text replaced by ``mask``.
+
+    Secrets of sixteen or more characters are replaced wherever they occur in the text, shorter ones only where
+    they were found, since they may be words elsewhere.
+    """
     found = scan(docs, id_col, text_col, **options).where("is_secret")
     per_doc = found.groupBy(F.col("doc_id").alias("_llm_doc"), F.col("text_key").alias("_llm_text")).agg(
-        F.sort_array(F.collect_set("hit"), asc=False).alias("_llm_hits")
+        F.sort_array(F.collect_set(F.when(F.char_length("hit") >= 16, F.col("hit"))), asc=False).alias("_llm_hits"),
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_llm_spans"),
     )
     text = F.coalesce(F.col(text_col), F.lit(""))
     same = F.col(id_col).eqNullSafe(F.col("_llm_doc")) & (F.xxhash64(text) == F.col("_llm_text"))
-    masked = F.aggregate("_llm_hits", F.col(text_col), lambda t, hit: F.replace(t, hit, F.lit(mask)))
+    state = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+    placed = F.aggregate(
+        "_llm_spans", state,
+        lambda a, s: F.struct(
+            F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mask)).alias("out"),
+            s["end"].alias("at"),
+        ),
+        lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.char_length(text))),
+    )
+    masked = F.aggregate("_llm_hits", placed, lambda t, hit: F.replace(t, hit, F.lit(mask)))
     return docs.join(per_doc, same, "left").withColumn(
         text_col, F.when(F.col("_llm_hits").isNull(), F.col(text_col)).otherwise(masked)
     ).select(*docs.columns)

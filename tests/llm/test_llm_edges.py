@@ -105,6 +105,40 @@ def test_secrets(docs):
     assert secrets.scan(docs.limit(0)).isEmpty()
 
 
+AWS = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+
+
+@pytest.mark.parametrize(("text", "hit"), [
+    (f'aws_secret_access_key = "{AWS}"', AWS), (f"AWS_SECRET_ACCESS_KEY={AWS}\n", AWS), (f'"aws_secret_access_key": "{AWS}",', AWS),
+    ('password = "Tr0ub4dor&3xy"', "Tr0ub4dor&3xy"), ("db_password: p$5w!rd9 next", "p$5w!rd9"), ("url?token=ab1&pwd=x7&1q&page=2", "x7&1q"),
+    ("é PWD='hunter2'", "hunter2"),
+])
+def test_assigned_secrets_under_any_name(spark, text, hit):
+    found = secrets.describe(secrets.candidates(spark.createDataFrame([(1, text)], "doc_id long, text string")),
+                             spark.createDataFrame([], "triple string"))
+    mine = [r for r in secrets.bootstrap_labels(found).collect() if r["label"] == 1]
+    assert [(r["hit"], r["credential"], r["assigned"]) for r in mine] == [(hit, 1, 1)]
+    assert text[mine[0]["start"] : mine[0]["end"]] == hit
+
+
+def test_contexts_are_the_text_around(spark):
+    text = "é" * 50 + f" secret_a=ab1! secret_b=cd2? {TOKEN} private_key_of_the_server={AWS}== pwd=x9y8 " + "ü" * 60
+    docs = spark.createDataFrame([(1, text), (2, f"{TOKEN}")], "doc_id long, text string")
+    found = [r for r in secrets.candidates(docs).collect()]
+    assert len([r for r in found if r["doc_id"] == 1]) == 6
+    for r in found:
+        whole = text if r["doc_id"] == 1 else TOKEN
+        assert whole[r["start"] : r["end"]] == r["hit"]
+        assert r["before"] == whole[max(0, r["start"] - 40) : r["start"]] and r["after"] == whole[r["end"] : r["end"] + 40]
+
+
+def test_short_secrets_are_masked_where_they_were_found(spark):
+    text = f'é x9y8z and pwd = "x9y8z", {TOKEN}; then token = "{TOKEN}" end'
+    docs = spark.createDataFrame([(1, text)] * 2, "doc_id long, text string")
+    masked = secrets.redact(docs, mask="#").collect()
+    assert [r["text"] for r in masked] == ['é x9y8z and pwd = "#", #; then token = "#" end'] * 2
+
+
 def test_coverage_does_not_depend_on_the_number_of_rows(spark):
     random = Random(9)
     letters = "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=40))
