@@ -26,6 +26,7 @@ document, id included, are copies like any other. Only id and text are read.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -274,14 +275,17 @@ def _roots(linked: np.ndarray, cls: list[int]) -> list[int]:
         label = new
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """``node, root``: the smallest node of each connected component of ``edges(a, b)``.
 
     Alternates large-star and small-star steps, which only ever shuffle edges; each round is written.
+    Goes on until nothing changes; raises if that takes more than ``rounds``.
     """
     current = written(edges.where("a <> b").distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    for done in itertools.count():
+        if done == rounds:
+            raise RuntimeError(f"components still change after {rounds} rounds")
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select(
             F.col("a").alias("_a"), F.least("a", "m").alias("m")

@@ -87,6 +87,13 @@ def test_recall_where_all_shingles_are_frequent(spark):
     assert sum(found.values()) >= 0.999 * sum(near)
 
 
+def test_components_do_not_end_unfinished(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    assert {r["root"] for r in chosenpath.components(chain).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        chosenpath.components(chain, rounds=1)
+
+
 def test_decontamination(docs, items):
     got = {r["doc_id"]: r for r in decontaminate.decontaminate(docs, items).collect()}
     assert (got[8]["n_words"], got[8]["n_hit"], got[8]["n_items"], got[8]["contaminated"]) == (11, 10, 2, True)
