@@ -139,7 +139,7 @@ def fit(known: DataFrame, everything: DataFrame, order: int = 4, held_out: int =
     )
     counts = trained.unionByName(unseen).groupBy("gram").agg(F.sum("a").alias("accepted"), F.sum("r").alias("rejected"))
     counts = written(counts, "url-counts")
-    ratios = written(_smoothed(counts, order).coalesce(1), "url-ratios")
+    ratios = written(_smoothed(counts, order), "url-ratios")
 
     tests = rows.where(part == 0).groupBy("url").agg(F.first("verdict").alias("verdict"))
     judged = scored(tests, ratios, order).join(tests, "url")

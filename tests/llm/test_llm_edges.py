@@ -271,6 +271,22 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0)).isEmpty()
 
 
+def test_url_ratios_are_written_by_several_tasks(spark):
+    known = spark.createDataFrame([(f"http://h{i}.net/p{i * i}", "allow" if i % 2 else "block") for i in range(60)], "url string, verdict string")
+    # As with tables too large to broadcast or to coalesce.
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        model = urls.fit(known, known)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(model.ratios.inputFiles()) > 1
+    assert model.ratios.count() == model.ratios.select("gram").distinct().count() > 0
+
+
 def test_pipeline_stages(spark, docs, items, labels, tmp_path):
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
