@@ -177,6 +177,15 @@ def test_language_model(docs):
     assert maxent.score(docs.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("fold", [0, 1])
+def test_one_text_trains_in_either_fold(spark, fold):
+    texts = spark.range(40).select(F.concat(F.lit("one two three four five six seven eight "), F.col("id").cast("string")).alias("text"))
+    one = texts.where(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)) == fold).orderBy("text").first()["text"]
+    docs = spark.createDataFrame([(i, one) for i in range(200)], "doc_id long, text string")
+    rows = maxent.score(docs, shape=maxent.Shape(rows=1 << 10, slots=1 << 12, max_slots=1 << 12)).collect()
+    assert all(r["score"] > r["base_score"] for r in rows)
+
+
 def test_the_history_chooses_among_the_words_of_a_class(spark):
     random = Random(5)
     following = {f"a{i}zz": f"b{i}zz" for i in range(30)}
