@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm import chat, chosenpath, decontaminate, maxent, mixing, pii, quality, secrets, urls, warc
+from shopstrata.llm import chat, chosenpath, decontaminate, maxent, mixing, pii, quality, repair, secrets, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.report(repair.damage(_table(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_secret_scans": op2_secret_scans,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filters": op8_url_filters,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -82,4 +87,5 @@ ORACLES: dict[str, str] = {
     "op7_jaccard_join": chosenpath.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
+    "op13_conversation_repair": repair.ORACLE,
 }
