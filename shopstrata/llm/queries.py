@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm import chat, chosenpath, decontaminate, maxent, mixing, pii, quality, repair, secrets, urls, warc
+from shopstrata.llm import (
+    chat,
+    chosenpath,
+    decontaminate,
+    maxent,
+    mixing,
+    pii,
+    quality,
+    ranked,
+    repair,
+    secrets,
+    urls,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +76,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.report(repair.damage(_table(spark, folder, "conversations")))
 
@@ -78,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filters": op8_url_filters,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op12_lexical_search": op12_lexical_search,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -87,5 +105,6 @@ ORACLES: dict[str, str] = {
     "op7_jaccard_join": chosenpath.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_quality_rules": quality.ORACLE,
+    "op12_lexical_search": ranked.ORACLE,
     "op13_conversation_repair": repair.ORACLE,
 }
