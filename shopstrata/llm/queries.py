@@ -11,6 +11,7 @@ from shopstrata.llm import (
     chat,
     chosenpath,
     decontaminate,
+    extract,
     maxent,
     mixing,
     pii,
@@ -76,6 +77,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.extract(_table(spark, folder, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filters": op8_url_filters,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op11_html_extraction": op11_html_extraction,
     "op12_lexical_search": op12_lexical_search,
     "op13_conversation_repair": op13_conversation_repair,
 }
