@@ -50,7 +50,7 @@ SMOOTHING = 0.1
 END = np.uint64(0xE4D)
 START = np.uint64(0x57A127)
 END_SUFFIX = 1 << 16
-FEATURES = 5
+SQUARE = 0.1  # squared gradients before the first
 
 
 @dataclass(frozen=True)
@@ -300,6 +300,9 @@ def describe(counts: DataFrame, shape: Shape) -> Words:
 # --- the model -------------------------------------------------------------------
 
 
+_NODE_FEATURES = [0, 1, 3]  # the last word, the last two, and the second last alone
+
+
 def features(found: Tokens, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """Weight rows of each token's history, one column per feature, and 32 further bits of each feature."""
 
@@ -314,7 +317,7 @@ def features(found: Tokens, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
         raw = [w1, two, mix(two) + w3, w2, w3]
         mixed = np.stack([mix(x + np.uint64(0x1000 + k)) for k, x in enumerate(raw)], axis=1)
         rows = (mixed & np.uint64(shape.rows - 1)).astype(np.uint16 if shape.rows <= 1 << 16 else np.uint32)
-        return rows, (mixed >> np.uint64(32)).astype(np.uint32)
+        return rows, (mixed[:, _NODE_FEATURES] >> np.uint64(32)).astype(np.uint32)
 
 
 def slots_of(marks: np.ndarray, nodes: np.ndarray, shape: Shape) -> np.ndarray:
@@ -324,7 +327,7 @@ def slots_of(marks: np.ndarray, nodes: np.ndarray, shape: Shape) -> np.ndarray:
     mixed ^= mixed >> np.uint32(15)
     mixed *= np.uint32(0xC2B2AE35)
     mixed >>= np.uint32(33 - shape.slots.bit_length())
-    return mixed
+    return mixed.astype(np.int64)  # which numpy takes twice as fast
 
 
 def logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -336,7 +339,7 @@ def logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarra
 
 
 def node_logits(inner: np.ndarray, trees: Trees, slots: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    total = inner[slots].sum(axis=1)
+    total = np.take(inner, slots).sum(axis=1)
     total += trees.offset[nodes]
     return np.clip(total, -60, 60, out=total)
 
@@ -349,11 +352,20 @@ class Learner:
         self.squares = np.full(len(weights), 0.1, dtype=np.float32)
         self.bias_square = 0.1
         self.seen = np.zeros(len(weights), dtype=np.float32)
-        self.inner, self.trees = inner.copy(), trees
-        self.inner_squares = np.full(len(inner), 0.1, dtype=np.float32)
-        self.inner_seen = np.zeros(len(inner), dtype=np.float32)
+        self.trees = trees
+        # A node's weight (real part) and its squared gradients (imaginary part) lie together, to be fetched at once.
+        self.nodes = (inner + np.complex64(SQUARE * 1j)).astype(np.complex64)
         self._sum = np.zeros(len(inner), dtype=np.float32)
 
+    @property
+    def inner(self) -> np.ndarray:
+        return self.nodes.real
+
+    @property
+    def inner_seen(self) -> np.ndarray:
+        """How much each node weight has learnt: its squared gradients."""
+        return self.nodes.imag - np.float32(SQUARE)
+
     def update(self, rows: np.ndarray, marks: np.ndarray, classes: np.ndarray, leaves: np.ndarray) -> None:
         self._update_classes(rows, classes)
         self._update_words(marks, leaves)
@@ -364,15 +376,17 @@ class Learner:
         if not len(owner):
             return
         slots = slots_of(marks[inside][owner], nodes, self.shape)
-        error = 1 / (1 + np.exp(-node_logits(self.inner, self.trees, slots, nodes))) - ones
-        slots = slots.ravel()
-        np.add.at(self._sum, slots, np.repeat(error, marks.shape[1]))
+        held = np.take(self.nodes, slots)
+        turns = held.real.sum(axis=1)
+        turns += self.trees.offset[nodes]
+        error = 1 / (1 + np.exp(-np.clip(turns, -60, 60, out=turns))) - ones
+        width, slots, held = slots.shape[1], slots.ravel(), held.ravel()
+        np.add.at(self._sum, slots, np.repeat(error, width))
         # A slot that comes several times gets the same value each time.
-        gradient = self._sum[slots]
-        squares = self.inner_squares[slots] + gradient * gradient
-        self.inner[slots] = self.inner[slots] - np.float32(self.shape.rate) * gradient / np.sqrt(squares)
-        self.inner_squares[slots] = squares
-        self.inner_seen[slots] = self.inner_seen[slots] + 1
+        gradient = np.take(self._sum, slots)
+        held.imag += gradient * gradient
+        held.real -= np.float32(self.shape.rate) * gradient / np.sqrt(held.imag)
+        self.nodes[slots] = held
         self._sum[slots] = 0
 
     def _update_classes(self, rows: np.ndarray, classes: np.ndarray) -> None:
@@ -410,29 +424,33 @@ class Learner:
 
 
 _BLOCKS = 64
-_CHANGES = "block int, part int, ids binary, change binary, seen binary"
+_CHANGES = "block int, part int, ids binary, scale double, change binary, seen binary"
 
 
-def _packed(change: np.ndarray, seen: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    """The rows that were seen, in 16 bits a number: which ones, their changes, and how often they were seen."""
+def _packed(change: np.ndarray, seen: np.ndarray) -> tuple[bytes, float, bytes, bytes]:
+    """The rows that were seen, a byte a number: which ones, the largest change, the roots of the changes as shares of
+    its root, and the logarithms of how much was seen."""
     rows = seen > 0
-    often = seen[rows].astype(np.float32).view(np.uint32) >> np.uint32(16)
-    return np.packbits(rows).tobytes(), change[rows].astype(np.float16).tobytes(), often.astype(np.uint16).tobytes()
+    kept = change[rows]
+    scale = float(np.abs(kept).max(initial=0)) or 1.0
+    roots = np.sign(kept) * np.sqrt(np.abs(kept) / scale) * 127
+    often = np.clip(np.round(6 * np.log2(seen[rows])) + 128, 0, 255)
+    return np.packbits(rows).tobytes(), scale, np.round(roots).astype(np.int8).tobytes(), often.astype(np.uint8).tobytes()
 
 
-def _unpacked(ids: bytes, change: bytes, seen: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(ids: bytes, scale: float, change: bytes, seen: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows = np.flatnonzero(np.unpackbits(np.frombuffer(ids, dtype=np.uint8)))
-    often = (np.frombuffer(seen, dtype=np.uint16).astype(np.uint32) << np.uint32(16)).view(np.float32)
-    width = len(change) // (2 * len(rows)) if len(rows) else 0
-    return rows, np.frombuffer(change, dtype=np.float16).astype(np.float32).reshape(len(rows), width), often
+    roots = np.frombuffer(change, dtype=np.int8).astype(np.float32) / 127
+    often = np.exp2((np.frombuffer(seen, dtype=np.uint8).astype(np.float32) - 128) / 6)
+    return rows, (np.sign(roots) * roots**2 * scale).reshape(len(rows), -1) if len(rows) else np.zeros((0, 1)), often
 
 
 def _blocks(change: np.ndarray, seen: np.ndarray, first_block: int, part: int) -> pa.RecordBatch:
     packed = [_packed(c, n) for c, n in zip(np.array_split(change, _BLOCKS), np.array_split(seen, _BLOCKS))]
     return pa.RecordBatch.from_arrays(
         [pa.array(range(first_block, first_block + _BLOCKS), pa.int32()), pa.array([part] * _BLOCKS, pa.int32()),
-         *(pa.array(c, pa.binary()) for c in zip(*packed))],
-        names=["block", "part", "ids", "change", "seen"],
+         *(pa.array(c, pa.float64() if n == 1 else pa.binary()) for n, c in enumerate(zip(*packed)))],
+        names=["block", "part", "ids", "scale", "change", "seen"],
     )
 
 
@@ -479,13 +497,13 @@ def _averaged(shape: Shape):
         block = int(frame["block"].iloc[0])
         total = np.zeros((sizes[block], shape.classes if block < _BLOCKS else 1))
         often = np.zeros(sizes[block])
-        for packed in zip(frame["ids"], frame["change"], frame["seen"]):
+        for packed in zip(frame["ids"], frame["scale"], frame["change"], frame["seen"]):
             rows, change, seen = _unpacked(*packed)
             if len(rows):
                 total[rows] += change * seen[:, None]
                 often[rows] += seen
         first = frame.iloc[:1].copy()
-        for name, value in zip(("ids", "change", "seen"), _packed(total / np.maximum(often, 1)[:, None], often)):
+        for name, value in zip(("ids", "scale", "change", "seen"), _packed(total / np.maximum(often, 1)[:, None], often)):
             first[name] = [value]
         return first
 
@@ -512,7 +530,7 @@ def train(texts: DataFrame, vocabulary: Words, shape: Shape) -> tuple[np.ndarray
         table, slots = np.concatenate([weights, bias[None, :]]), inner.copy()
         for r in whole.collect():
             block = r["block"]
-            rows, change, _ = _unpacked(bytes(r["ids"]), bytes(r["change"]), bytes(r["seen"]))
+            rows, change, _ = _unpacked(bytes(r["ids"]), r["scale"], bytes(r["change"]), bytes(r["seen"]))
             if not len(rows):
                 continue
             rows = rows + (ends[block - 1] if block else 0)
