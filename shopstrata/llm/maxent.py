@@ -35,6 +35,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -65,6 +66,7 @@ class Shape:
     head: int = 1 << 18  # words whose counts are broadcast
     rounds: int = 2
     rate: float = 0.15
+    node_rate: float = 0.22  # of the tree nodes, which have fewer features to share a step
     batch: int = 8192  # tokens an update
 
     def grown(self, distinct: int) -> Shape:
@@ -150,27 +152,45 @@ def _count(flush: int = 1 << 20):
 
 @dataclass(frozen=True)
 class Trees:
-    """A binary tree a class: the path of leaf i is ``nodes`` and ``ones`` from ``start[i]`` to ``start[i + 1]``."""
+    """A binary tree a class: the parent of each leaf and, from ``leaves`` on, of each node, -1 for a root."""
 
-    start: np.ndarray
-    nodes: np.ndarray
-    ones: np.ndarray  # whether the path takes the first side of the node
+    leaves: int
+    parent: np.ndarray
+    side: np.ndarray  # whether a leaf or node is its parent's first side
     offset: np.ndarray  # log odds of each node's first side by the counts
 
+    @cached_property
+    def _paths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the path of each leaf starts, and the nodes and sides on the paths."""
+        leaf, at, kept = np.arange(self.leaves), np.arange(self.leaves), []
+        while len(leaf):
+            leaf, at = leaf[self.parent[at] >= 0], at[self.parent[at] >= 0]
+            kept.append((leaf, self.parent[at] - self.leaves, self.side[at]))
+            at = self.parent[at]
+        owner, nodes, ones = (np.concatenate([k[n] for k in kept]) if kept else np.zeros(0, np.int64) for n in range(3))
+        order = np.argsort(owner, kind="stable")
+        start = np.append(0, np.cumsum(np.bincount(owner, minlength=self.leaves))).astype(np.int64)
+        return start, nodes[order].astype(np.int32), ones[order].astype(np.float32)
+
+    def __getstate__(self) -> dict:
+        """Without the paths, which are far larger than the trees and are drawn anew in each task's process."""
+        return {k: v for k, v in self.__dict__.items() if k != "_paths"}
+
     def steps(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each node on the paths of ``leaves``: which leaf of the list, the node, and the side."""
-        first = self.start[leaves]
-        many = self.start[leaves + 1] - first
+        start, nodes, ones = self._paths
+        first = start[leaves]
+        many = start[leaves + 1] - first
         owner = np.repeat(np.arange(len(leaves)), many)
         place = np.arange(len(owner)) + np.repeat(first - (np.cumsum(many) - many), many)
-        return owner, self.nodes[place], self.ones[place]
+        return owner, nodes[place], ones[place]
 
 
 def grow(weights: np.ndarray, group: np.ndarray) -> Trees:
     """A Huffman tree over the leaves of each group."""
     count = len(weights)
     total = list(weights)
-    parent = np.full(2 * count, -1, dtype=np.int64)
+    parent = np.full(2 * count, -1, dtype=np.int32)
     side = np.zeros(2 * count, dtype=bool)
     offset: list[float] = []
     order = np.argsort(group, kind="stable")
@@ -185,15 +205,7 @@ def grow(weights: np.ndarray, group: np.ndarray) -> Trees:
             offset.append(math.log(b / a))
             total.append(a + b)
             heapq.heappush(heap, (a + b, made))
-    leaf, at, kept = np.arange(count), np.arange(count), []
-    while len(leaf):
-        leaf, at = leaf[parent[at] >= 0], at[parent[at] >= 0]
-        kept.append((leaf, parent[at] - count, side[at]))
-        at = parent[at]
-    owner, nodes, ones = (np.concatenate([k[n] for k in kept]) if kept else np.zeros(0, np.int64) for n in range(3))
-    order = np.argsort(owner, kind="stable")
-    start = np.append(0, np.cumsum(np.bincount(owner, minlength=count))).astype(np.int64)
-    return Trees(start, nodes[order].astype(np.int32), ones[order].astype(np.float32), np.array(offset, dtype=np.float32))
+    return Trees(count, parent, side, np.array(offset, dtype=np.float32))
 
 
 @dataclass(frozen=True)
@@ -271,7 +283,7 @@ def describe(counts: DataFrame, shape: Shape) -> Words:
     order = np.argsort(keys)
     keys, n = keys[order], np.asarray(head["n"]).astype(np.int64)[order]
     suffix = np.asarray(head["suffix"]).astype(np.int64)[order]
-    single = np.full(len(keys), -1, dtype=np.int64)
+    single = np.full(len(keys), -1, dtype=np.int16)
     ranked = np.lexsort((keys, -n))
     ranked = ranked[suffix[ranked] != END_SUFFIX][: shape.singles]
     single[ranked] = 1 + np.arange(len(ranked))
@@ -287,7 +299,7 @@ def describe(counts: DataFrame, shape: Shape) -> Words:
     np.add.at(mass, place, np.asarray(by_tail["n"]).astype(float) + SMOOTHING * np.asarray(by_tail["v"]).astype(float))
 
     worded = np.flatnonzero((single < 0) & (suffix != END_SUFFIX))
-    leaf = np.full(len(keys), -1, dtype=np.int64)
+    leaf = np.full(len(keys), -1, dtype=np.int32)
     leaf[worded] = np.arange(len(worded))
     first = 1 + shape.singles
     tail_leaf = np.full((shape.classes, shape.tails), -1, dtype=np.int64)
@@ -344,6 +356,15 @@ def node_logits(inner: np.ndarray, trees: Trees, slots: np.ndarray, nodes: np.nd
     return np.clip(total, -60, 60, out=total)
 
 
+def _sent(model: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Half as large; what a task learns is added to the whole numbers on the driver."""
+    return tuple(x.astype(np.float16) for x in model)
+
+
+def _received(model: tuple[np.ndarray, ...]) -> Iterator[np.ndarray]:
+    return (x.astype(np.float32) for x in model)
+
+
 class Learner:
     """AdaGrad over the documents of one task, with one step size a weight row or node weight."""
 
@@ -385,7 +406,7 @@ class Learner:
         # A slot that comes several times gets the same value each time.
         gradient = np.take(self._sum, slots)
         held.imag += gradient * gradient
-        held.real -= np.float32(self.shape.rate) * gradient / np.sqrt(held.imag)
+        held.real -= np.float32(self.shape.node_rate) * gradient / np.sqrt(held.imag)
         self.nodes[slots] = held
         self._sum[slots] = 0
 
@@ -456,7 +477,7 @@ def _blocks(change: np.ndarray, seen: np.ndarray, first_block: int, part: int) -
 
 def _train(shared, known, shape: Shape, fan: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias, inner = shared.value
+        weights, bias, inner = _received(shared.value)
         vocabulary = known.value
         learner = Learner(weights, bias, inner, vocabulary.trees, shape)
         waiting, held, total = [], 0, 0
@@ -510,17 +531,16 @@ def _averaged(shape: Shape):
     return run
 
 
-def train(texts: DataFrame, vocabulary: Words, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def train(texts: DataFrame, known, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights, bias and node weights after ``shape.rounds`` rounds over ``texts(text, fold)``, each using one fold
-    of the documents."""
+    of the documents; ``known`` is the broadcast vocabulary."""
     context = texts.sparkSession.sparkContext
     weights = np.zeros((shape.rows, shape.classes), dtype=np.float32)
     bias = np.zeros(shape.classes, dtype=np.float32)
     inner = np.zeros(shape.slots, dtype=np.float32)
-    known = context.broadcast(vocabulary)
     ends = np.cumsum(_block_rows(shape))
     for fold in range(shape.rounds):
-        shared = context.broadcast((weights, bias, inner))
+        shared = context.broadcast(_sent((weights, bias, inner)))
         mine = texts.where(F.col("fold") == fold).select("text")
         fan = max(1, math.isqrt(mine.rdd.getNumPartitions()))
         changes = mine.mapInArrow(_train(shared, known, shape, fan), _CHANGES)
@@ -528,7 +548,7 @@ def train(texts: DataFrame, vocabulary: Words, shape: Shape) -> tuple[np.ndarray
             changes = changes.groupBy("block", "part").applyInPandas(_averaged(shape), _CHANGES)
         whole = changes.groupBy("block").applyInPandas(_averaged(shape), _CHANGES)
         table, slots = np.concatenate([weights, bias[None, :]]), inner.copy()
-        for r in whole.collect():
+        for r in whole.collect():  # a row a block
             block = r["block"]
             rows, change, _ = _unpacked(bytes(r["ids"]), r["scale"], bytes(r["change"]), bytes(r["seen"]))
             if not len(rows):
@@ -539,6 +559,7 @@ def train(texts: DataFrame, vocabulary: Words, shape: Shape) -> tuple[np.ndarray
             else:
                 slots[rows - ends[_BLOCKS - 1]] += change[:, 0]
         weights, bias, inner = table[:-1], table[-1], slots
+        shared.destroy()
     return weights, bias, inner
 
 
@@ -552,7 +573,7 @@ _ROWS = (
 
 def _score(shared, known, shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias, inner = shared.value
+        weights, bias, inner = _received(shared.value)
         vocabulary = known.value
         for batch, found in in_portions(batches):
             yield scored(batch, found, weights, bias, inner, vocabulary)
@@ -630,9 +651,8 @@ def score(
     counts = count_words(training)
     vocabulary = describe(counts, shape)
     shape = vocabulary.shape
-    model = train(training, vocabulary, shape)
-
-    shared, known = context.broadcast(model), context.broadcast(vocabulary)
+    known = context.broadcast(vocabulary)
+    shared = context.broadcast(_sent(train(training, known, shape)))
     rows = texts.select("doc_id", "text_key", "held_out", "text").mapInArrow(_score(shared, known, shape), _ROWS)
     # The counts of a document's rarer words come by a join; no such word is frequent, so no key is hot.
     joined = rows.join(counts.select(F.col("word").alias("_word"), "n"), F.col("word") == F.col("_word"), "left")
