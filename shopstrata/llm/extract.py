@@ -88,6 +88,7 @@ def prior() -> np.ndarray:
         weights[FEATURES[f"run links:{i}"]] = -0.4 * i
     pairs = weights[len(FEATURES) :].reshape(KINDS, 2, 2)  # kind, state of the parent, state of the child
     pairs[:, 0, 1], pairs[:, 1, 1] = -2.0, 1.0
+    pairs[4 * 1 + 3, 1, 1] = pairs[4 * 2, 1, 1] = 4.0  # running text of an article, and runs of running text
     return weights
 
 
