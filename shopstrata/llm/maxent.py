@@ -52,6 +52,7 @@ END = np.uint64(0xE4D)
 START = np.uint64(0x57A127)
 END_SUFFIX = 1 << 16
 SQUARE = 0.1  # squared gradients before the first
+_FIRST_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -158,6 +159,7 @@ class Trees:
     parent: np.ndarray
     side: np.ndarray  # whether a leaf or node is its parent's first side
     offset: np.ndarray  # log odds of each node's first side by the counts
+    line: np.ndarray  # eight times the node where the up to three levels around each node begin, plus its place in them
 
     @cached_property
     def _paths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,7 +207,15 @@ def grow(weights: np.ndarray, group: np.ndarray) -> Trees:
             offset.append(math.log(b / a))
             total.append(a + b)
             heapq.heappush(heap, (a + b, made))
-    return Trees(count, parent, side, np.array(offset, dtype=np.float32))
+    parent, side = parent[: len(total)], side[: len(total)]
+    line = np.zeros(len(offset), dtype=np.uint32)
+    for node in range(len(offset) - 1, -1, -1):  # a parent is made after its sides
+        above = int(parent[count + node]) - count
+        if above >= 0 and line[above] % 8 < 3:
+            line[node] = line[above] // 8 * 8 + 2 * (line[above] % 8) + 1 + side[count + node]
+        else:
+            line[node] = node * 8
+    return Trees(count, parent, side, np.array(offset, dtype=np.float32), line)
 
 
 @dataclass(frozen=True)
@@ -227,11 +237,27 @@ class Words:
     def base_log(self) -> float:
         return math.log10(self.total + SMOOTHING * (self.distinct + 1))
 
+    @cached_property
+    def _starts(self) -> np.ndarray:
+        """Where in the head the hashes with the same first bits begin."""
+        return np.searchsorted(self.head, np.arange(1 << _FIRST_BITS, dtype=np.uint64) << np.uint64(64 - _FIRST_BITS))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_starts"}
+
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in the head, and whether the word is there at all."""
-        at = np.searchsorted(self.head, keys)
-        at[at == len(self.head)] = 0
-        return at, (self.head[at] == keys) if len(self.head) else np.zeros(len(keys), bool)
+        if not len(self.head):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        last = len(self.head) - 1
+        at = np.minimum(np.take(self._starts, (keys >> np.uint64(64 - _FIRST_BITS)).astype(np.int64)), last)
+        held = np.take(self.head, at)
+        late = np.flatnonzero((held < keys) & (at < last))
+        while len(late):  # few hashes share their first bits
+            at[late] += 1
+            held[late] = self.head[at[late]]
+            late = late[(held[late] < keys[late]) & (at[late] < last)]
+        return at, held == keys
 
     def class_of(self, at: np.ndarray, inside: np.ndarray, suffix: np.ndarray) -> np.ndarray:
         found = suffix_class(suffix, self.shape)
@@ -332,13 +358,17 @@ def features(found: Tokens, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
         return rows, (mixed[:, _NODE_FEATURES] >> np.uint64(32)).astype(np.uint32)
 
 
-def slots_of(marks: np.ndarray, nodes: np.ndarray, shape: Shape) -> np.ndarray:
-    """Where the weights of features and a tree node are: one row per node, one column per feature."""
-    mixed = marks ^ (nodes.astype(np.uint32) * np.uint32(0x9E3779B1))[:, None]
+def slots_of(marks: np.ndarray, owner: np.ndarray, line: np.ndarray, shape: Shape) -> np.ndarray:
+    """Where the weights of features and tree nodes are: one row per feature, one column per node.
+
+    The nodes of up to three levels of a path lie in eight neighbouring places, so that they come in one fetch."""
+    mixed = np.stack([np.take(m, owner) for m in marks])
+    mixed ^= (line >> np.uint32(3)) * np.uint32(0x9E3779B1)
     mixed *= np.uint32(0x85EBCA6B)
     mixed ^= mixed >> np.uint32(15)
     mixed *= np.uint32(0xC2B2AE35)
     mixed >>= np.uint32(33 - shape.slots.bit_length())
+    mixed ^= line & np.uint32(7)
     return mixed.astype(np.int64)  # which numpy takes twice as fast
 
 
@@ -351,8 +381,9 @@ def logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarra
 
 
 def node_logits(inner: np.ndarray, trees: Trees, slots: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    total = np.take(inner, slots).sum(axis=1)
-    total += trees.offset[nodes]
+    total = np.take(trees.offset, nodes)
+    for own in slots:
+        total += np.take(inner, own)
     return np.clip(total, -60, 60, out=total)
 
 
@@ -396,19 +427,21 @@ class Learner:
         owner, nodes, ones = self.trees.steps(leaves[inside])
         if not len(owner):
             return
-        slots = slots_of(marks[inside][owner], nodes, self.shape)
-        held = np.take(self.nodes, slots)
-        turns = held.real.sum(axis=1)
-        turns += self.trees.offset[nodes]
+        slots = slots_of(marks[inside].T, owner, np.take(self.trees.line, nodes), self.shape)
+        held = [np.take(self.nodes, own) for own in slots]
+        turns = np.take(self.trees.offset, nodes)
+        for node in held:
+            turns += node.real
         error = 1 / (1 + np.exp(-np.clip(turns, -60, 60, out=turns))) - ones
-        width, slots, held = slots.shape[1], slots.ravel(), held.ravel()
-        np.add.at(self._sum, slots, np.repeat(error, width))
+        for own in slots:
+            np.add.at(self._sum, own, error)
         # A slot that comes several times gets the same value each time.
-        gradient = np.take(self._sum, slots)
-        held.imag += gradient * gradient
-        held.real -= np.float32(self.shape.node_rate) * gradient / np.sqrt(held.imag)
-        self.nodes[slots] = held
-        self._sum[slots] = 0
+        gradients = [np.take(self._sum, own) for own in slots]
+        for own, node, gradient in zip(slots, held, gradients):
+            node.imag += gradient * gradient
+            node.real -= np.float32(self.shape.node_rate) * gradient / np.sqrt(node.imag)
+            self.nodes[own] = node
+            self._sum[own] = 0
 
     def _update_classes(self, rows: np.ndarray, classes: np.ndarray) -> None:
         error = np.exp(logits(self.weights, self.bias, rows))
@@ -440,7 +473,7 @@ class Learner:
         squares = self.squares[touched] + np.einsum("ij,ij->i", gradient, gradient) / np.float32(error.shape[1])
         self.squares[touched] = squares
         gradient *= (np.float32(self.shape.rate) / np.sqrt(squares))[:, None]
-        self.weights[touched] -= gradient
+        self.weights[touched] = np.subtract(np.take(self.weights, touched, axis=0), gradient, out=gradient)
         self.seen[touched] += many
 
 
@@ -591,8 +624,10 @@ def _score(shared, known, shape: Shape):
             model[i : i + shape.batch] = own - np.log(np.exp(sums, out=sums).sum(axis=1))
             worded = np.flatnonzero(leaves[i : i + shape.batch] >= 0)
             owner, nodes, ones = vocabulary.trees.steps(leaves[i + worded])
-            turns = node_logits(inner, vocabulary.trees, slots_of(marks[i + worded][owner], nodes, shape), nodes)
-            lost = np.logaddexp(0, np.where(ones > 0, -turns, turns))
+            slots = slots_of(marks[i + worded].T, owner, np.take(vocabulary.trees.line, nodes), shape)
+            turns = node_logits(inner, vocabulary.trees, slots, nodes)
+            turns *= 1 - 2 * ones
+            lost = np.maximum(turns, 0) + np.log(1 + np.exp(-np.abs(turns)))  # log(1 + exp(turns))
             model[i + worded] -= np.bincount(owner, lost, len(worded))
         model /= math.log(10)
         counts = np.zeros(len(classes))

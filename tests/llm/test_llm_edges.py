@@ -214,8 +214,8 @@ def test_token_probabilities_add_up_to_one(spark, head):
         inside = {k: known.leaf_of(*[np.array([x]) for x in (k, *_place(known, k))], np.array([first]))[0] for k in words}
         leaves = np.unique(np.append(list(inside.values()), known.tail_leaf[first]).astype(np.int64))
         owner, nodes, ones = trees.steps(leaves)
-        marks = np.full((len(owner), 5), 77, dtype=np.uint32)
-        turns = maxent.node_logits(inner, trees, maxent.slots_of(marks, nodes, known.shape), nodes)
+        marks = np.full((3, len(leaves)), 77, dtype=np.uint32)
+        turns = maxent.node_logits(inner, trees, maxent.slots_of(marks, owner, trees.line[nodes], known.shape), nodes)
         log = -np.bincount(owner, np.logaddexp(0, np.where(ones > 0, -turns, turns)), len(leaves))
         assert np.exp(log).sum() == pytest.approx(1, abs=1e-5)
         # A tail leaf's words and its place for unknown ones fill its mass.
@@ -224,6 +224,32 @@ def test_token_probabilities_add_up_to_one(spark, head):
             assert mass == pytest.approx(known.tail_mass[first, t])
 
 
+def test_three_levels_of_a_tree_lie_together():
+    random = np.random.default_rng(4)
+    trees = maxent.grow(random.integers(1, 1000, 600).astype(float), random.integers(0, 3, 600))
+    assert len(np.unique(trees.line)) == len(trees.offset) and trees.line.max() < 8 * len(trees.offset)
+    # One feature's weights of the nodes that begin at the same node share eight places, each with its own.
+    marks, shape = np.full((1, 1), 77, dtype=np.uint32), maxent.Shape()
+    slots = maxent.slots_of(marks, np.zeros(len(trees.line), dtype=np.int64), trees.line, shape)[0]
+    for first in np.unique(trees.line // 8):
+        own = slots[trees.line // 8 == first]
+        assert len(np.unique(own // 8)) == 1 and len(np.unique(own)) == len(own)
+
+
+def test_words_are_looked_up_like_in_a_sorted_list():
+    random = np.random.default_rng(6)
+    # Crowded first bits, the smallest and the largest hash among them.
+    head = np.unique(np.concatenate([
+        random.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2), np.arange(40, dtype=np.uint64),
+        np.uint64((1 << 64) - 1) - np.arange(40, dtype=np.uint64),
+    ]))
+    one = np.zeros(len(head))
+    known = maxent.Words(1, 1, head, one, one, one, one, one, maxent.grow(one[:0], one[:0]), maxent.Shape())
+    keys = np.concatenate([head, head + np.uint64(1), random.integers(0, 1 << 63, 5000, dtype=np.uint64)])
+    at, inside = known.look_up(keys)
+    assert (inside == np.isin(keys, head)).all() and (head[at[inside]] == keys[inside]).all()
+
+
 def _place(known, key):
     at, inside = known.look_up(np.array([key], dtype=np.uint64))
     return at[0], inside[0]
