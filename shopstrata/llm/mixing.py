@@ -2,8 +2,9 @@
 
 A multinomial classifier trained on the labelled table gives each document a posterior over
 domains. The expected tokens of a domain are the sum of rate * tokens * posterior, and the
-rates are fitted by projected gradient on the squared relative gaps to the targets plus
-a small pull towards rate 1. A document's rate depends on the totals only through one
+rates are fitted by projected gradient with momentum on the squared relative gaps to the targets plus
+a small pull towards rate 1, until the targets are met or the gaps no longer fall; the gaps left
+are returned. A document's rate depends on the totals only through one
 residual per domain and step, so a step is one aggregation over a narrow table; the
 driver keeps a few numbers per domain, and rates are written every ``stride`` steps.
 
@@ -17,13 +18,15 @@ labelled domains every posterior is the smoothed share of the labels. An empty t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstrata.llm.columns import ascii_lower, split_words
+from shopstrata.llm.columns import ascii_lower, let, split_words
 from shopstrata.llm.scratch import written
 
 DOMAINS = ["clean", "low", "toxic"]
@@ -69,58 +72,71 @@ def posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     )
 
 
-def _stepped(rate: Column, p: Column, steps: list[list[float]], pull: float) -> Column:
-    """The rate after the steps whose weighted residuals are given."""
+def _stepped(state: Column, p: Column, steps: list[tuple[list[float], float]], pull: float) -> Column:
+    """``state`` (the rate reached and the one looked ahead to) after steps of weighted residuals and momentum."""
     if not steps:
-        return rate
-    history = F.array(*[F.array(*[F.lit(x) for x in s]) for s in steps])
+        return state
+    history = F.array(
+        *[F.struct(F.array(*[F.lit(x) for x in u]).alias("u"), F.lit(float(momentum)).alias("m")) for u, momentum in steps]
+    )
 
-    def step(r: Column, u: Column) -> Column:
-        slope = sum((F.get(p, F.lit(k)) * F.get(u, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0))
-        return F.greatest(F.lit(0.0), r - (slope + pull * (r - 1.0)) / (1.0 + pull))
+    def step(s: Column, h: Column) -> Column:
+        slope = sum((F.get(p, F.lit(k)) * F.get(h["u"], F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0))
+        rate = F.greatest(F.lit(0.0), s["ahead"] - (slope + pull * (s["ahead"] - 1.0)) / (1.0 + pull))
+        return let(
+            rate, lambda r: F.struct(r.alias("rate"), F.greatest(F.lit(0.0), r + h["m"] * (r - s["rate"])).alias("ahead"))
+        )
 
-    return F.aggregate(history, rate, step)
+    return F.aggregate(history, state, step)
 
 
 def fit_rates(
-    members: DataFrame, targets: dict[str, float], steps: int = 40, stride: int = 8, pull: float = 1e-3, close: float = 1e-5
-) -> DataFrame:
-    """``members(doc_id, n_tokens, p)`` with a nonnegative ``rate``.
+    members: DataFrame, targets: dict[str, float], stride: int = 8, pull: float = 1e-5, close: float = 1e-5, patience: int = 60
+) -> tuple[DataFrame, dict[str, float]]:
+    """``members(doc_id, n_tokens, p)`` with a nonnegative ``rate``, and each domain's share less its target at these rates.
 
-    Stops early once every domain's share is within ``close`` of its target.
+    Ends once every domain is within ``close`` of its target, or once ``patience`` steps in a row have not brought the
+    squared gaps a hundredth below the least before: then the targets cannot be met, or only up to the pull.
     """
-    current = written(members.withColumn("rate", F.lit(1.0)), "mix-rates")
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    current = written(members.withColumn("state", start), "mix-rates")
     n = current.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    if not n:
-        return current
     wanted = [targets[d] for d in DOMAINS]
-    taken: list[list[float]] = []
-    weights = None
-    for _ in range(steps):
-        rate = _stepped(F.col("rate"), F.col("p"), taken, pull)
-        rated = current.select("n_tokens", "p", rate.alias("r"))
+    taken: list[tuple[list[float], float]] = []
+    weights, least, waited, pace = None, math.inf, 0, 1.0
+    while True:
+        state = _stepped(F.col("state"), F.col("p"), taken, pull)
+        rated = current.select("doc_id", "n_tokens", "p", state.alias("state"))
+        if not n:  # no tokens, nothing to weigh
+            gaps = [-w for w in wanted]
+            break
+        if len(taken) == stride:
+            current = written(rated, "mix-rates")
+            rated, taken = current, []
         sums = rated.agg(
-            *[F.sum(F.col("n_tokens") * F.col("r") * F.get("p", F.lit(k))).alias(f"t{k}") for k in range(len(DOMAINS))]
+            *[F.sum(F.col("n_tokens") * F.col("state.ahead") * F.get("p", F.lit(k))).alias(f"t{k}") for k in range(len(DOMAINS))]
         ).first()
         gaps = [(sums[k] or 0.0) / n - wanted[k] for k in range(len(DOMAINS))]
         if weights is None:  # by the domain's share at rate 1, which makes the steps equally long in all domains
             weights = [1.0 / max((sums[k] or 0.0) / n, 1e-3) for k in range(len(DOMAINS))]
-        if max(abs(g) for g in gaps) <= close:
+        loss = sum(w * g * g for w, g in zip(weights, gaps))
+        waited = 0 if loss < 0.99 * least else waited + 1
+        least = min(least, loss)
+        if max(abs(g) for g in gaps) <= close or waited >= patience:
             break
-        taken.append([w * g for w, g in zip(weights, gaps)])
-        if len(taken) == stride:
-            current = written(
-                current.select("doc_id", "n_tokens", "p", _stepped(F.col("rate"), F.col("p"), taken, pull).alias("rate")), "mix-rates"
-            )
-            taken = []
-    return current.select("doc_id", "n_tokens", "p", _stepped(F.col("rate"), F.col("p"), taken, pull).alias("rate"))
+        following = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        taken.append(([w * g for w, g in zip(weights, gaps)], (pace - 1) / following))
+        pace = following
+    return rated.select("doc_id", "n_tokens", "p", F.col("state.ahead").alias("rate")), dict(zip(DOMAINS, gaps))
 
 
 def mix(
     docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_tokens``, its posteriors and its ``rate``."""
-    rated = fit_rates(posteriors(docs, labels, id_col, text_col), targets or TARGETS)
+    """One row per document: ``doc_id, n_tokens``, its posteriors, its ``rate``, and per domain the gap that the
+    rates of all documents leave between the domain's share of the tokens and its target."""
+    rated, gaps = fit_rates(posteriors(docs, labels, id_col, text_col), targets or TARGETS)
     return rated.select(
-        "doc_id", "n_tokens", *[F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate"
+        "doc_id", "n_tokens", *[F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate",
+        *[F.lit(float(gap)).alias(f"gap_{d}") for d, gap in gaps.items()],
     )

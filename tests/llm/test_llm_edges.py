@@ -268,6 +268,28 @@ def test_mixing(docs, labels):
     assert mixing.mix(docs, labels.limit(0)).count() == docs.count() and mixing.mix(docs.limit(0), labels).isEmpty()
 
 
+def test_rates_of_overlapping_domains_reach_their_targets(spark):
+    lean = (F.col("doc_id") % 5 - 2) / 25
+    members = spark.range(400).select(
+        F.col("id").alias("doc_id"), (50 + F.col("id") % 100).alias("n_tokens")
+    ).withColumn("p", F.array(F.lit(0.6), 0.2 + lean, 0.2 - lean))
+    rated, gaps = mixing.fit_rates(members, {"clean": 0.6, "low": 0.22, "toxic": 0.18})
+    rows = rated.collect()
+    total = sum(r["n_tokens"] for r in rows)
+    for k, (name, share) in enumerate((("clean", 0.6), ("low", 0.22), ("toxic", 0.18))):
+        reached = sum(r["n_tokens"] * r["rate"] * r["p"][k] for r in rows) / total
+        assert reached - share == pytest.approx(gaps[name], abs=1e-9) and abs(gaps[name]) <= 1e-5
+
+
+def test_rates_say_which_gap_is_left(spark):
+    """Documents of one domain cannot fill another."""
+    members = spark.range(20).select(F.col("id").alias("doc_id"), F.lit(10).alias("n_tokens")).withColumn(
+        "p", F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0))
+    )
+    rated, gaps = mixing.fit_rates(members, {"clean": 0.5, "low": 0.5, "toxic": 0.0}, patience=3)
+    assert gaps["low"] == -0.5 and abs(gaps["clean"]) < 0.05 and rated.count() == 20
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "hi"), (1, 2, "assistant", None), (1, 2, None, "x"), (None, 0, "user", "y")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
