@@ -68,9 +68,13 @@ def _run(key: Column) -> Column:
     return F.concat(F.lit("r"), (key % 3).cast("string"))
 
 
-def _snapshots(df: DataFrame, count: int) -> DataFrame:
-    """Each row once per snapshot 0..count-1, as a feed that repeats its catalogue does."""
-    return df.withColumn("snapshot", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+def _snapshots(df: DataFrame, key: str, count: int) -> DataFrame:
+    """Each row once per snapshot 0..count-1, as a feed that repeats its catalogue does.
+
+    The narrow rows are dealt out by their key first: a file of a few MB is read by one task, but its
+    rows times the snapshots are hundreds of MB where a task sorts them.
+    """
+    return df.repartition(key).withColumn("snapshot", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
 
 
 def _snapshot_time(minutes: int) -> Column:
@@ -180,7 +184,7 @@ def users(tables: SampleTables) -> DataFrame:
         F.concat(segment, k.cast("string"), F.lit("@"), place, F.lit(".com"))
     )
     midnight = F.lit(AS_OF).cast("timestamp_ntz")
-    return _snapshots(customer, 2).select(
+    return _snapshots(customer, "c_custkey", 2).select(
         k.cast("int").alias("user_id"),
         F.concat(
             _pick(k, ["Dr. ", "Mrs. ", "", "Sir "]),
@@ -223,7 +227,7 @@ def sellers(tables: SampleTables) -> DataFrame:
     )
     k, s = F.col("s_suppkey"), F.col("snapshot")
     joined = F.lit(AS_OF).cast("date") - (90 + k % 1700).cast("int")
-    return _snapshots(supplier, 2).select(
+    return _snapshots(supplier, "s_suppkey", 2).select(
         k.cast("int").alias("seller_id"),
         F.col("s_name").alias("seller_name"),
         F.concat(F.lit("shop"), k.cast("string"), F.lit("@example.com")).alias("email"),
@@ -251,7 +255,7 @@ def products(tables: SampleTables) -> DataFrame:
     base = (k * 37 % 60000) / F.lit(100.0)
     current = round_half_up(base * (90 + (k + s) % 21) / 100, 2)
     pct = F.when(k % 5 == 0, (5 + k % 36).cast("double")).otherwise(F.lit(0.0))
-    return _snapshots(tables.read("part"), 4).select(
+    return _snapshots(tables.read("part"), "p_partkey", 4).select(
         k.cast("int").alias("product_id"),
         (k % 1000).cast("int").alias("seller_id"),
         F.concat(F.lit("SKU-"), _padded(k, 5)).alias("sku"),
