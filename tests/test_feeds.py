@@ -39,3 +39,13 @@ def test_the_snapshots_of_one_file_are_not_sorted_in_one_task(spark, folder):
         latest = all_queries()["silver_products"](spark, folder)
         assert latest.count() == 197  # a row a key, one of them for the absent ones
         assert latest.select("last_run_id").distinct().first()[0] == "p3"
+
+
+def test_the_product_dimension_sorts_no_more_than_its_share_in_a_task(spark, folder):
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        dim = all_queries()["dim_product"](spark, folder)
+        text = dim._jdf.queryExecution().executedPlan().toString()
+        limit, explode, scan = text.index("1, Partial"), text.index("Generate explode"), text.index("FileScan")
+        # Top down: the limit's sort, the snapshots, the exchange that deals out the parts, and their file.
+        assert limit < explode < text.index("Exchange hashpartitioning(p_partkey", explode) < scan
+        assert dim.count() == 197
