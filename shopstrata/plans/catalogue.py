@@ -457,7 +457,8 @@ def dim_user(t: SampleTables) -> DataFrame:
 @_register
 def fact_orders(t: SampleTables) -> DataFrame:
     dims = gold.Dimensions(dim_user(t), dim_date(t), dim_currency(t), dim_seller(t), dim_product(t))
-    return gold.fact_orders(silver_orders(t), dims)
+    feed = sample_tables.orders(t, dealt_by_id=True)
+    return gold.fact_orders(silver.orders(feed, RUN), dims)
 
 
 @_register

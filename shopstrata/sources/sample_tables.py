@@ -125,21 +125,29 @@ def order_times(tables: SampleTables) -> DataFrame:
     return tables.read("orders").select(_ordered_at().alias("ordered_at"))
 
 
-def orders(tables: SampleTables) -> DataFrame:
-    """bronze_orders: order headers with the roll-up of their lines."""
+def orders(tables: SampleTables, dealt_by_id: bool = False) -> DataFrame:
+    """bronze_orders: order headers with the roll-up of their lines.
+
+    With ``dealt_by_id`` lines and headers meet on the feed's text id instead of the number it is made of. The
+    rows are the same, and where that join shuffles, a dedup by the id need not shuffle the wide rows again.
+    """
+    k = F.col("o_orderkey")
+    items, headers, on = lines(tables), tables.read("orders"), "o_orderkey"
+    if dealt_by_id:
+        items = items.withColumn("order_id", F.col("order_id").cast("string"))
+        headers, on = headers.withColumn("order_id", k.cast("string")), "order_id"
     rollup = order_rollup(
-        lines(tables),
+        items,
         carry={
             "last_shipped_at": (F.max("shipped_at"), F.max("last_shipped_at")),
             "products_json": (None, F.to_json(F.sort_array(_category_item()))),
         },
-    ).withColumnRenamed("order_id", "o_orderkey")
-    k = F.col("o_orderkey")
+    ).withColumnRenamed("order_id", on)
     net = F.coalesce("net_total", F.lit(0.0))
     rate = (50 + k % 131) / F.lit(1000.0)
-    joined = tables.read("orders").join(rollup, "o_orderkey", "left")
+    joined = headers.join(rollup, on, "left")
     return joined.select(
-        k.cast("string").alias("order_id"),
+        F.col(on).cast("string").alias("order_id"),
         F.col("o_custkey").cast("int").alias("user_id"),
         _pick(k, fixed.ORDER_STATUSES).alias("order_status"),
         _pick(k, fixed.ORDER_CHANNELS, 8).alias("channel"),
