@@ -181,11 +181,12 @@ class Trees:
     def steps(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each node on the paths of ``leaves``: which leaf of the list, the node, and the side."""
         start, nodes, ones = self._paths
-        first = start[leaves]
-        many = start[leaves + 1] - first
+        first = np.take(start, leaves)
+        many = np.take(start, leaves + 1) - first
         owner = np.repeat(np.arange(len(leaves)), many)
-        place = np.arange(len(owner)) + np.repeat(first - (np.cumsum(many) - many), many)
-        return owner, nodes[place], ones[place]
+        place = np.repeat(first - (np.cumsum(many) - many), many)
+        place += np.arange(len(owner))
+        return owner, np.take(nodes, place), np.take(ones, place)
 
 
 def grow(weights: np.ndarray, group: np.ndarray) -> Trees:
@@ -396,6 +397,11 @@ def _received(model: tuple[np.ndarray, ...]) -> Iterator[np.ndarray]:
     return (x.astype(np.float32) for x in model)
 
 
+def _as_items(rows: np.ndarray) -> np.ndarray:
+    """One item a row, which numpy stores whole instead of number by number."""
+    return rows.view(np.dtype((np.void, rows.itemsize * rows.shape[1])))[:, 0]
+
+
 class Learner:
     """AdaGrad over the documents of one task, with one step size a weight row or node weight."""
 
@@ -438,8 +444,12 @@ class Learner:
         # A slot that comes several times gets the same value each time.
         gradients = [np.take(self._sum, own) for own in slots]
         for own, node, gradient in zip(slots, held, gradients):
-            node.imag += gradient * gradient
-            node.real -= np.float32(self.shape.node_rate) * gradient / np.sqrt(node.imag)
+            squares = gradient * gradient
+            squares += node.imag
+            node.imag = squares
+            gradient *= np.float32(self.shape.node_rate)
+            gradient /= np.sqrt(squares, out=squares)
+            node.real -= gradient
             self.nodes[own] = node
             self._sum[own] = 0
 
@@ -473,7 +483,8 @@ class Learner:
         squares = self.squares[touched] + np.einsum("ij,ij->i", gradient, gradient) / np.float32(error.shape[1])
         self.squares[touched] = squares
         gradient *= (np.float32(self.shape.rate) / np.sqrt(squares))[:, None]
-        self.weights[touched] = np.subtract(np.take(self.weights, touched, axis=0), gradient, out=gradient)
+        np.subtract(np.take(self.weights, touched, axis=0), gradient, out=gradient)
+        _as_items(self.weights)[touched] = _as_items(gradient)
         self.seen[touched] += many
 
 
