@@ -99,9 +99,10 @@ def tokens(texts: list[bytes]) -> Tokens:
     keys = np.full(len(hashes) + len(texts), END)
     suffix = np.full(len(keys), END_SUFFIX, dtype=np.int32)
     if len(hashes):
-        data = BLANK_WORDS[np.frombuffer(joined, dtype=np.uint8)].astype(np.int32)
+        data = np.frombuffer(joined, dtype=np.uint8)
+        before, last = (BLANK_WORDS[data[ends - n]].astype(np.int32) for n in (2, 1))
         keys[place] = hashes
-        suffix[place] = np.where(ends - starts > 1, data[ends - 2], 0) * 256 + data[ends - 1]
+        suffix[place] = np.where(ends - starts > 1, before, 0) * 256 + last
     sizes = np.bincount(text, minlength=len(texts)) + 1
     return Tokens(keys, suffix, np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes), sizes)
 
@@ -110,8 +111,8 @@ def in_portions(batches: Iterator[pa.RecordBatch], size: int = 1 << 17) -> Itera
     """Slices of the batches with their tokens; a slice ends where its texts reach ``size`` bytes."""
     for batch in batches:
         texts, held, first = [], 0, 0
-        for i, text in enumerate(batch.column("text")):
-            texts.append(text.as_py().encode())
+        for i, text in enumerate(batch.column("text").cast(pa.large_binary())):
+            texts.append(text.as_py())
             held += len(texts[-1])
             if held >= size or i == batch.num_rows - 1:
                 yield batch.slice(first, len(texts)), tokens(texts)
@@ -162,8 +163,10 @@ class Trees:
     line: np.ndarray  # eight times the node where the up to three levels around each node begin, plus its place in them
 
     @cached_property
-    def _paths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where the path of each leaf starts, and the nodes and sides on the paths."""
+    def _paths(self) -> tuple[np.ndarray, ...]:
+        """Where the path of each leaf starts among the nodes, and among the lines; the nodes with their log odds, and the
+        lines. A node's number holds the node, its side and, in three bits, its place in the line; that of a line holds its
+        first node and, in two bits, how many nodes of the path are in it."""
         leaf, at, kept = np.arange(self.leaves), np.arange(self.leaves), []
         while len(leaf):
             leaf, at = leaf[self.parent[at] >= 0], at[self.parent[at] >= 0]
@@ -172,7 +175,16 @@ class Trees:
         owner, nodes, ones = (np.concatenate([k[n] for k in kept]) if kept else np.zeros(0, np.int64) for n in range(3))
         order = np.argsort(owner, kind="stable")
         start = np.append(0, np.cumsum(np.bincount(owner, minlength=self.leaves))).astype(np.int64)
-        return start, nodes[order].astype(np.int32), ones[order].astype(np.float32)
+        nodes, line = nodes[order], self.line[nodes[order]]
+        # The nodes of a line follow one another on a path.
+        new = np.ones(len(line), dtype=bool)
+        new[1:] = line[1:] // 8 != line[:-1] // 8
+        new[start[:-1][np.diff(start) > 0]] = True
+        first = np.flatnonzero(new)
+        path = np.empty(len(line), dtype=[("odds", np.float32), ("step", np.uint32)])
+        path["odds"], path["step"] = self.offset[nodes], nodes * 16 + ones[order] * 8 + line % 8
+        many = np.diff(np.append(first, len(line)))
+        return start, np.searchsorted(first, start), path, (line[first] // 8 * 4 + many).astype(np.uint32)
 
     def __getstate__(self) -> dict:
         """Without the paths, which are far larger than the trees and are drawn anew in each task's process."""
@@ -180,13 +192,49 @@ class Trees:
 
     def steps(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each node on the paths of ``leaves``: which leaf of the list, the node, and the side."""
-        start, nodes, ones = self._paths
-        first = np.take(start, leaves)
-        many = np.take(start, leaves + 1) - first
-        owner = np.repeat(np.arange(len(leaves)), many)
-        place = np.repeat(first - (np.cumsum(many) - many), many)
-        place += np.arange(len(owner))
-        return owner, np.take(nodes, place), np.take(ones, place)
+        start, _, path, _ = self._paths
+        at, many = _runs(start, leaves)
+        step = np.take(path, at)["step"]
+        return np.repeat(np.arange(len(leaves)), many), (step >> 4).astype(np.int32), (step >> 3 & 1).astype(np.float32)
+
+    def lines(self, leaves: np.ndarray) -> Lines:
+        """The paths of ``leaves`` line by line."""
+        start, line_start, path, lines = self._paths
+        at, many_lines = _runs(line_start, leaves)
+        inside, many = _runs(start, leaves)
+        line, node = np.take(lines, at), np.take(path, inside)
+        step = node["step"]
+        return Lines(
+            np.repeat(np.arange(len(leaves)), many_lines), line >> 2, (line & 3).astype(np.int64), many,
+            node["odds"].copy(), (step & 7).astype(np.int64), (step >> 3 & 1).astype(np.float32),
+        )
+
+
+def _runs(start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in the runs ``which``, and how many each has; runs go from start to start."""
+    first = np.take(start, which)
+    many = np.take(start, which + 1) - first
+    at = np.repeat(first - (np.cumsum(many) - many), many)
+    at += np.arange(len(at))
+    return at, many
+
+
+@dataclass(frozen=True)
+class Lines:
+    """Paths of leaves by lines: for each line which leaf of the list, its first node, and how many nodes of the path;
+    how many nodes each path has; for each node its log odds by the counts, its place in the line, and the side."""
+
+    owner: np.ndarray
+    first: np.ndarray
+    many: np.ndarray
+    steps: np.ndarray
+    offset: np.ndarray
+    place: np.ndarray
+    ones: np.ndarray
+
+    def slots(self, starts: np.ndarray) -> list[np.ndarray]:
+        """Where the weights of the nodes are, for each feature, whose lines start at ``starts``."""
+        return [np.repeat(own, self.many) ^ self.place for own in starts]
 
 
 def grow(weights: np.ndarray, group: np.ndarray) -> Trees:
@@ -340,6 +388,7 @@ def describe(counts: DataFrame, shape: Shape) -> Words:
 
 
 _NODE_FEATURES = [0, 1, 3]  # the last word, the last two, and the second last alone
+_SHORT = 8
 
 
 def features(found: Tokens, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
@@ -354,22 +403,27 @@ def features(found: Tokens, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         two = w1 * np.uint64(3) + mix(w2)
         raw = [w1, two, mix(two) + w3, w2, w3]
-        mixed = np.stack([mix(x + np.uint64(0x1000 + k)) for k, x in enumerate(raw)], axis=1)
-        rows = (mixed & np.uint64(shape.rows - 1)).astype(np.uint16 if shape.rows <= 1 << 16 else np.uint32)
-        return rows, (mixed[:, _NODE_FEATURES] >> np.uint64(32)).astype(np.uint32)
+        mixed = [mix(x + np.uint64(0x1000 + k)) for k, x in enumerate(raw)]
+        rows = np.stack([m.astype(np.uint32) for m in mixed]) & np.uint32(shape.rows - 1)
+        marks = np.stack([(mixed[k] >> np.uint64(32)).astype(np.uint32) for k in _NODE_FEATURES])
+        return (rows.astype(np.uint16) if shape.rows <= 1 << 16 else rows).T, marks.T  # a column's numbers lie together
 
 
 def slots_of(marks: np.ndarray, owner: np.ndarray, line: np.ndarray, shape: Shape) -> np.ndarray:
     """Where the weights of features and tree nodes are: one row per feature, one column per node.
 
     The nodes of up to three levels of a path lie in eight neighbouring places, so that they come in one fetch."""
+    return starts_of(marks, owner, line >> np.uint32(3), shape) ^ (line & np.uint32(7))
+
+
+def starts_of(marks: np.ndarray, owner: np.ndarray, first: np.ndarray, shape: Shape) -> np.ndarray:
+    """Where the line that begins at each node ``first`` is: one row per feature. The last three bits mix up the places in it."""
     mixed = np.stack([np.take(m, owner) for m in marks])
-    mixed ^= (line >> np.uint32(3)) * np.uint32(0x9E3779B1)
+    mixed ^= first * np.uint32(0x9E3779B1)
     mixed *= np.uint32(0x85EBCA6B)
     mixed ^= mixed >> np.uint32(15)
     mixed *= np.uint32(0xC2B2AE35)
     mixed >>= np.uint32(33 - shape.slots.bit_length())
-    mixed ^= line & np.uint32(7)
     return mixed.astype(np.int64)  # which numpy takes twice as fast
 
 
@@ -382,10 +436,14 @@ def logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarra
 
 
 def node_logits(inner: np.ndarray, trees: Trees, slots: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    total = np.take(trees.offset, nodes)
+    return added(inner, np.take(trees.offset, nodes), slots)
+
+
+def added(inner: np.ndarray, offset: np.ndarray, slots: np.ndarray | list[np.ndarray]) -> np.ndarray:
+    """The log odds of nodes: ``offset``, which becomes the sum, and each feature's weight."""
     for own in slots:
-        total += np.take(inner, own)
-    return np.clip(total, -60, 60, out=total)
+        offset += np.take(inner, own)
+    return np.clip(offset, -60, 60, out=offset)
 
 
 def _sent(model: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
@@ -414,6 +472,7 @@ class Learner:
         # A node's weight (real part) and its squared gradients (imaginary part) lie together, to be fetched at once.
         self.nodes = (inner + np.complex64(SQUARE * 1j)).astype(np.complex64)
         self._sum = np.zeros(len(inner), dtype=np.float32)
+        self._last = np.zeros((len(inner) + 7) // 8, dtype=np.int32)
 
     @property
     def inner(self) -> np.ndarray:
@@ -429,21 +488,19 @@ class Learner:
         self._update_words(marks, leaves)
 
     def _update_words(self, marks: np.ndarray, leaves: np.ndarray) -> None:
-        inside = leaves >= 0
-        owner, nodes, ones = self.trees.steps(leaves[inside])
-        if not len(owner):
+        inside = np.flatnonzero(leaves >= 0)
+        found = self.trees.lines(leaves[inside])
+        if not len(found.owner):
             return
-        slots = slots_of(marks[inside].T, owner, np.take(self.trees.line, nodes), self.shape)
+        starts = starts_of(marks[inside].T, found.owner, found.first, self.shape)
+        slots = found.slots(starts)
         held = [np.take(self.nodes, own) for own in slots]
-        turns = np.take(self.trees.offset, nodes)
+        turns = found.offset
         for node in held:
             turns += node.real
-        error = 1 / (1 + np.exp(-np.clip(turns, -60, 60, out=turns))) - ones
-        for own in slots:
-            np.add.at(self._sum, own, error)
+        error = 1 / (1 + np.exp(-np.clip(turns, -60, 60, out=turns))) - found.ones
         # A slot that comes several times gets the same value each time.
-        gradients = [np.take(self._sum, own) for own in slots]
-        for own, node, gradient in zip(slots, held, gradients):
+        for own, node, gradient in zip(slots, held, self._summed(starts, found.many, slots, error)):
             squares = gradient * gradient
             squares += node.imag
             node.imag = squares
@@ -451,10 +508,32 @@ class Learner:
             gradient /= np.sqrt(squares, out=squares)
             node.real -= gradient
             self.nodes[own] = node
+
+    def _summed(
+        self, starts: np.ndarray, many: np.ndarray, slots: list[np.ndarray], error: np.ndarray
+    ) -> list[np.ndarray]:
+        """For each feature the sums of the errors by slot. Where a line comes once, its slots take their errors as they are."""
+        lines = starts.ravel() >> 3
+        at = np.arange(len(lines), dtype=np.int32)
+        self._last[lines] = at
+        last = np.take(self._last, lines)
+        several = last != at
+        several[last[several]] = True
+        among = [np.flatnonzero(np.repeat(own, many)) for own in several.reshape(starts.shape)]
+        repeated = [np.take(own, some) for own, some in zip(slots, among)]
+        for own, some in zip(repeated, among):
+            np.add.at(self._sum, own, np.take(error, some))
+        sums = []
+        for own, some in zip(repeated, among):
+            sums.append(error.copy())
+            sums[-1][some] = np.take(self._sum, own)
+        for own in repeated:
             self._sum[own] = 0
+        return sums
 
     def _update_classes(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        error = np.exp(logits(self.weights, self.bias, rows))
+        error = logits(self.weights, self.bias, rows)
+        np.exp(error, out=error)
         error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(classes)), classes] -= 1
         total = error.sum(axis=0)
@@ -462,6 +541,7 @@ class Learner:
         self.bias -= self.shape.rate * total / np.float32(math.sqrt(self.bias_square))
         for k in range(rows.shape[1]):
             self._step(rows[:, k], error)
+        self.seen += np.bincount(rows.T.ravel(), minlength=len(self.seen)).astype(np.float32)
 
     def _step(self, rows: np.ndarray, error: np.ndarray) -> None:
         """One feature's rows. A row of one token takes that token's error as it is; the others are summed."""
@@ -474,18 +554,26 @@ class Learner:
         touched = ordered[first]
         gradient = np.take(error, order[first], axis=0)
         repeated = np.flatnonzero(many > 1)
-        if len(repeated):
-            inside = np.repeat(many > 1, many)
-            counts = many[repeated]
-            gradient[repeated] = np.add.reduceat(
+        repeated = repeated[np.argsort(-many[repeated], kind="stable")]
+        bounds = len(repeated) - np.searchsorted(many[repeated][::-1], np.arange(1, _SHORT + 1), side="right")
+        longer, short = repeated[: bounds[-1]], repeated[bounds[-1] :]
+        if len(longer):
+            inside = np.repeat(many > _SHORT, many)
+            counts = many[many > _SHORT]
+            gradient[np.sort(longer)] = np.add.reduceat(
                 np.take(error, order[inside], axis=0), np.cumsum(counts) - counts, axis=0
             )
+        if len(short):  # place by place, because reduceat goes through every column of every row's tokens
+            start = first[short]
+            rest = np.take(error, order[start + 1], axis=0)
+            for place, end in enumerate(bounds[1:-1] - len(longer), 2):
+                rest[:end] += np.take(error, order[start[:end] + place], axis=0)
+            gradient[short] += rest
         squares = self.squares[touched] + np.einsum("ij,ij->i", gradient, gradient) / np.float32(error.shape[1])
         self.squares[touched] = squares
         gradient *= (np.float32(self.shape.rate) / np.sqrt(squares))[:, None]
         np.subtract(np.take(self.weights, touched, axis=0), gradient, out=gradient)
         _as_items(self.weights)[touched] = _as_items(gradient)
-        self.seen[touched] += many
 
 
 _BLOCKS = 64
@@ -634,12 +722,12 @@ def _score(shared, known, shape: Shape):
             own = sums[np.arange(len(part)), part].astype(np.float64)
             model[i : i + shape.batch] = own - np.log(np.exp(sums, out=sums).sum(axis=1))
             worded = np.flatnonzero(leaves[i : i + shape.batch] >= 0)
-            owner, nodes, ones = vocabulary.trees.steps(leaves[i + worded])
-            slots = slots_of(marks[i + worded].T, owner, np.take(vocabulary.trees.line, nodes), shape)
-            turns = node_logits(inner, vocabulary.trees, slots, nodes)
-            turns *= 1 - 2 * ones
+            lines = vocabulary.trees.lines(leaves[i + worded])
+            slots = lines.slots(starts_of(marks[i + worded].T, lines.owner, lines.first, shape))
+            turns = added(inner, lines.offset, slots)
+            turns *= 1 - 2 * lines.ones
             lost = np.maximum(turns, 0) + np.log(1 + np.exp(-np.abs(turns)))  # log(1 + exp(turns))
-            model[i + worded] -= np.bincount(owner, lost, len(worded))
+            model[i + worded] -= np.bincount(np.repeat(np.arange(len(worded)), lines.steps), lost, len(worded))
         model /= math.log(10)
         counts = np.zeros(len(classes))
         counts[inside] = np.log10(vocabulary.head_n[at[inside]] + SMOOTHING)
