@@ -167,24 +167,32 @@ class Trees:
         """Where the path of each leaf starts among the nodes, and among the lines; the nodes with their log odds, and the
         lines. A node's number holds the node, its side and, in three bits, its place in the line; that of a line holds its
         first node and, in two bits, how many nodes of the path are in it."""
-        leaf, at, kept = np.arange(self.leaves), np.arange(self.leaves), []
-        while len(leaf):
-            leaf, at = leaf[self.parent[at] >= 0], at[self.parent[at] >= 0]
-            kept.append((leaf, self.parent[at] - self.leaves, self.side[at]))
-            at = self.parent[at]
-        owner, nodes, ones = (np.concatenate([k[n] for k in kept]) if kept else np.zeros(0, np.int64) for n in range(3))
-        order = np.argsort(owner, kind="stable")
-        start = np.append(0, np.cumsum(np.bincount(owner, minlength=self.leaves))).astype(np.int64)
-        nodes, line = nodes[order], self.line[nodes[order]]
+        many = np.zeros(self.leaves, dtype=np.int64)
+        for leaf, _, _ in self._levels():
+            many[leaf] += 1
+        start = np.append(0, np.cumsum(many))
+        path = np.empty(start[-1], dtype=[("odds", np.float32), ("step", np.uint32)])
+        for level, (leaf, node, one) in enumerate(self._levels()):
+            at = start[leaf] + level
+            path["odds"][at] = self.offset[node]
+            path["step"][at] = node * 16 + one * np.int32(8) + self.line[node] % 8
         # The nodes of a line follow one another on a path.
+        line = self.line[path["step"] >> 4] >> 3
         new = np.ones(len(line), dtype=bool)
-        new[1:] = line[1:] // 8 != line[:-1] // 8
-        new[start[:-1][np.diff(start) > 0]] = True
+        new[1:] = line[1:] != line[:-1]
+        new[start[:-1][many > 0]] = True
         first = np.flatnonzero(new)
-        path = np.empty(len(line), dtype=[("odds", np.float32), ("step", np.uint32)])
-        path["odds"], path["step"] = self.offset[nodes], nodes * 16 + ones[order] * 8 + line % 8
-        many = np.diff(np.append(first, len(line)))
-        return start, np.searchsorted(first, start), path, (line[first] // 8 * 4 + many).astype(np.uint32)
+        held = np.diff(np.append(first, len(line)))
+        return start, np.searchsorted(first, start), path, (line[first] * 4 + held).astype(np.uint32)
+
+    def _levels(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """From the leaves up: the leaves whose paths go on, and the next nodes and sides."""
+        leaf = at = np.arange(self.leaves, dtype=np.int32)
+        while len(leaf):
+            above = self.parent[at]
+            on = above >= 0
+            leaf, side, at = leaf[on], self.side[at[on]], above[on]
+            yield leaf, at - np.int32(self.leaves), side
 
     def __getstate__(self) -> dict:
         """Without the paths, which are far larger than the trees and are drawn anew in each task's process."""
@@ -580,6 +588,12 @@ _BLOCKS = 64
 _CHANGES = "block int, part int, ids binary, scale double, change binary, seen binary"
 
 
+# What each byte of a packed change and of how much was seen stands for.
+_ROOTS = np.arange(256, dtype=np.uint8).view(np.int8).astype(np.float32) / 127
+_CHANGE = np.sign(_ROOTS) * _ROOTS**2
+_OFTEN = np.exp2((np.arange(256, dtype=np.float32) - 128) / 6)
+
+
 def _packed(change: np.ndarray, seen: np.ndarray) -> tuple[bytes, float, bytes, bytes]:
     """The rows that were seen, a byte a number: which ones, the largest change, the roots of the changes as shares of
     its root, and the logarithms of how much was seen."""
@@ -592,10 +606,9 @@ def _packed(change: np.ndarray, seen: np.ndarray) -> tuple[bytes, float, bytes,
 
 
 def _unpacked(ids: bytes, scale: float, change: bytes, seen: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rows = np.flatnonzero(np.unpackbits(np.frombuffer(ids, dtype=np.uint8)))
-    roots = np.frombuffer(change, dtype=np.int8).astype(np.float32) / 127
-    often = np.exp2((np.frombuffer(seen, dtype=np.uint8).astype(np.float32) - 128) / 6)
-    return rows, (np.sign(roots) * roots**2 * scale).reshape(len(rows), -1) if len(rows) else np.zeros((0, 1)), often
+    rows = np.flatnonzero(np.unpackbits(np.frombuffer(ids, dtype=np.uint8)).view(bool))
+    change = np.take(_CHANGE, np.frombuffer(change, dtype=np.uint8)) * scale
+    return rows, change.reshape(len(rows), -1) if len(rows) else np.zeros((0, 1)), np.take(_OFTEN, np.frombuffer(seen, dtype=np.uint8))
 
 
 def _blocks(change: np.ndarray, seen: np.ndarray, first_block: int, part: int) -> pa.RecordBatch:
@@ -653,7 +666,10 @@ def _averaged(shape: Shape):
         for packed in zip(frame["ids"], frame["scale"], frame["change"], frame["seen"]):
             rows, change, seen = _unpacked(*packed)
             if len(rows):
-                total[rows] += change * seen[:, None]
+                if total.shape[1] == 1:  # plain numbers, which numpy adds faster than rows of one
+                    total[:, 0][rows] += change[:, 0] * seen
+                else:
+                    total[rows] += change * seen[:, None]
                 often[rows] += seen
         first = frame.iloc[:1].copy()
         for name, value in zip(("ids", "scale", "change", "seen"), _packed(total / np.maximum(often, 1)[:, None], often)):
